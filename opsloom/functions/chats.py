@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from opsloom.functions import rules
-from opsloom.functions.common import SPACE_CLASS, col, first_match, strip
+from opsloom.functions.common import SPACE_CLASS, col, first_match, let, strip
 
 SPACE = f"[{SPACE_CLASS}]*"
 # A call block is a lazy {...} that reaches the end marker or the end of the chat.
@@ -25,19 +25,27 @@ def _closes_cleanly(text: Column) -> Column:
     return F.json_object_keys(F.concat(F.lit('{"v":'), text, F.lit("}"))).isNotNull()
 
 
+def _single(text: Column, kind: str) -> Column:
+    """The one value of ``[text]`` read as an array of ``kind``; null if the text is not
+    exactly one strictly valid JSON value of that kind."""
+    def read(t: Column) -> Column:
+        items = F.from_json(F.concat(F.lit("["), t, F.lit("]")), f"array<{kind}>", STRICT_JSON)
+        probe = F.struct(items.alias("items"), _closes_cleanly(t).alias("clean"))
+        return let(
+            probe, lambda p: F.when((F.size(p["items"]) == 1) & p["clean"], p["items"])
+        )
+
+    return let(text, read)
+
+
 def json_object(text: Column) -> Column:
     """A whole, strictly valid JSON object as map of key to raw JSON text, else null."""
-    parsed = F.from_json(
-        F.concat(F.lit("["), text, F.lit("]")), "array<map<string,string>>", STRICT_JSON
-    )
-    whole = (F.size(parsed) == 1) & _closes_cleanly(text)
-    return F.when(whole, parsed[0])
+    return _single(text, "map<string,string>")[0]
 
 
 def is_json(text: Column) -> Column:
     """True if the whole text is one strictly valid JSON value of any kind."""
-    parsed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>", STRICT_JSON)
-    return F.coalesce((F.size(parsed) == 1) & _closes_cleanly(text), F.lit(False))
+    return _single(text, "string").isNotNull()
 
 
 def call_blocks(chat: Column | str) -> Column:
@@ -55,23 +63,33 @@ def function_calls(chat: Column | str) -> Column:
     null for good calls. ``n_arguments`` is null when the arguments are not an object.
     """
 
-    def parse(block: Column) -> Column:
-        fields = json_object(F.regexp_replace(block, QUOTED_ARGUMENTS, "$1"))
+    def arguments(raw: Column) -> Column:
+        # a plain string that is no JSON itself stays a string: quote it again
+        return F.struct(
+            F.when(is_json(raw), raw).otherwise(quote_json(raw)).alias("text"),
+            F.size(F.array_distinct(F.map_keys(json_object(raw)))).alias("n"),
+        )
+
+    def good(fields: Column) -> Column:
         raw = F.when(
             F.map_contains_key(fields, F.lit("arguments")),
             F.coalesce(fields["arguments"], F.lit("null")),
         ).otherwise("{}")
-        keys = F.array_distinct(F.map_keys(json_object(raw)))
-        as_json = F.when(is_json(raw), raw).otherwise(
-            # a plain string stays a string: quote it again
-            F.regexp_extract(F.to_json(F.struct(raw.alias("v"))), r"(?s)^\{\"v\":(.*)\}$", 1)
-        )
-        return F.struct(
-            F.when(fields.isNotNull(), F.coalesce(fields["name"], F.lit("unknown"))).alias("name"),
-            F.when(fields.isNotNull(), as_json).alias("arguments"),
-            F.when(fields.isNotNull(), F.size(keys)).alias("n_arguments"),
-            F.when(fields.isNull(), F.left(block, F.lit(100))).alias("malformed"),
+        name = F.coalesce(fields["name"], F.lit("unknown"))
+        return let(raw, lambda r: let(arguments(r), lambda a: F.struct(
+            name.alias("name"), a["text"].alias("arguments"),
+            a["n"].alias("n_arguments"), F.lit(None).cast("string").alias("malformed"),
+        )))
+
+    def parse(block: Column) -> Column:
+        nothing = F.lit(None).cast("string")
+        bad = F.struct(
+            nothing.alias("name"), nothing.alias("arguments"),
+            F.lit(None).cast("int").alias("n_arguments"),
+            F.left(block, F.lit(100)).alias("malformed"),
         )
+        fields = json_object(F.regexp_replace(block, QUOTED_ARGUMENTS, "$1"))
+        return let(fields, lambda f: F.when(f.isNull(), bad).otherwise(good(f)))
 
     return F.transform(call_blocks(chat), parse)
 
@@ -82,16 +100,17 @@ def has_malformed(calls: Column) -> Column:
 
 def complexity_tier(calls: Column) -> Column:
     """none, malformed, simple (one call, at most two arguments), moderate or complex."""
-    one = calls[0]
-    count = F.size(calls)
-    first = F.when(count >= 1, one)
-    return first_match(
-        [(count == 0, "none"),
-         (count > 1, "complex"),
-         (first["malformed"].isNotNull(), "malformed"),
-         (first["n_arguments"] <= 2, "simple")],
-        F.lit("moderate"),
-    )
+    def tier(c: Column) -> Column:
+        first = F.get(c, F.lit(0))
+        return first_match(
+            [(F.size(c) == 0, "none"),
+             (F.size(c) > 1, "complex"),
+             (first["malformed"].isNotNull(), "malformed"),
+             (first["n_arguments"] <= 2, "simple")],
+            F.lit("moderate"),
+        )
+
+    return let(calls, tier)
 
 
 def calls_json(calls: Column) -> Column:
@@ -118,26 +137,34 @@ def function_signature(system: Column | str) -> Column:
     The text from the first to the last brace must be one JSON object with a name; a list of
     several functions is not, and gives null.
     """
-    body = F.nullif(F.regexp_extract(col(system), r"(?s)\{.*\}", 0), F.lit(""))
-    fields = json_object(body)
-    params = json_object(fields["parameters"])
-    no_params = ~F.map_contains_key(fields, F.lit("parameters"))
-    properties = F.when(params["properties"].isNull(), F.lit("{}")).otherwise(params["properties"])
-    property_keys = F.map_keys(json_object(properties))
-    required = F.from_json(F.coalesce(params["required"], F.lit("[]")), "array<string>")
     empty = F.array().cast("array<string>")
-    usable = F.map_contains_key(fields, F.lit("name")) & (
-        no_params | params.isNull() | property_keys.isNotNull()
-    )
-    return F.when(
-        usable,
-        F.struct(
-            fields["name"].alias("name"),
-            F.coalesce(fields["description"], F.lit("")).alias("description"),
-            F.coalesce(property_keys, empty).alias("parameters"),
+    body = F.nullif(F.regexp_extract(col(system), r"(?s)\{.*\}", 0), F.lit(""))
+
+    def parameters(params: Column) -> Column:
+        """Property names and required names; null names where properties is no object."""
+        properties = json_object(F.coalesce(params["properties"], F.lit("{}")))
+        required = F.from_json(F.coalesce(params["required"], F.lit("[]")), "array<string>")
+        return F.when(
+            params.isNull(), F.struct(empty.alias("names"), empty.alias("required"))
+        ).otherwise(F.struct(
+            F.map_keys(properties).alias("names"),
             F.coalesce(required, empty).alias("required"),
-        ),
-    )
+        ))
+
+    def signature(fields: Column) -> Column:
+        return let(
+            let(json_object(fields["parameters"]), parameters),
+            lambda p: F.when(
+                F.map_contains_key(fields, F.lit("name")) & p["names"].isNotNull(),
+                F.struct(
+                    fields["name"].alias("name"),
+                    F.coalesce(fields["description"], F.lit("")).alias("description"),
+                    p["names"].alias("parameters"), p["required"].alias("required"),
+                ),
+            ),
+        )
+
+    return let(json_object(body), signature)
 
 
 def signatures_json(signature: Column) -> Column:

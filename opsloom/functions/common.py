@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Whitespace as Unicode text handling understands it, as a character class body and as the
@@ -24,6 +24,23 @@ def col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is evaluated once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def computed(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are evaluated once, where they are written.
+
+    A filter on a plain derived column is pushed below its projection, which copies (and
+    evaluates again) everything the column is made of. Costly columns come out of a one-row
+    generator instead, which filters do not pass.
+    """
+    row = F.struct(*[value.alias(name) for name, value in columns.items()])
+    kept = [c for c in df.columns if c not in columns]
+    return df.select(*kept, F.inline(F.array(row)))
+
+
 def any_of(conditions: Iterable[Column]) -> Column:
     return reduce(or_, conditions)
 

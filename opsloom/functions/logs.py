@@ -53,7 +53,16 @@ def event_type(message: Column | str, template: Column | str, severity: Column |
     A null message or template makes the combined text null, so only the severity rule
     applies to such rows.
     """
-    text = F.lower(F.concat(col(message), F.lit(" "), col(template)))
+    return event_type_of(labelled_text(message, template), severity)
+
+
+def labelled_text(message: Column | str, template: Column | str) -> Column:
+    return F.lower(F.concat(col(message), F.lit(" "), col(template)))
+
+
+def event_type_of(text: Column | str, severity: Column | str) -> Column:
+    """The event type of an already combined, lower-cased text."""
+    text = col(text)
     cases = [(contains_any(text, words), name) for name, words in rules.EVENT_TYPE_RULES]
     cases.append((col(severity) == "INFO", "normal_ops"))
     return first_match(cases, F.lit("unknown"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opsloom.functions import chats, rules
+from opsloom.functions.common import computed
 from opsloom.operators import quality
 from opsloom.operators.qa import message
 
@@ -30,10 +31,11 @@ def call_features(raw: DataFrame) -> DataFrame:
     itself is kept as ``calls`` for the operators that follow.
     """
     words = chats.error_words("chat")
-    parsed = raw.filter(F.col("chat") != "").select(
-        "system", "chat", chats.function_calls("chat").alias("calls"),
-        chats.function_signature("system").alias("signature"),
-        words.alias("words"),
+    parsed = computed(
+        raw.filter(F.col("chat") != "").select("system", "chat"),
+        calls=chats.function_calls("chat"),
+        signature=chats.function_signature("system"),
+        words=words,
     )
     calls, signature = F.col("calls"), F.col("signature")
     defined = signature.isNotNull()

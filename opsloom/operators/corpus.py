@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opsloom.functions import chats, corpus, rules
-from opsloom.functions.common import first_match, strip
+from opsloom.functions.common import computed, first_match, strip
 from opsloom.operators.qa import message
 
 SLICE_DIMENSIONS = ["iac_type", "license", "size_bucket", "prompt_type"]
@@ -93,41 +93,44 @@ def with_filter_reason(files: DataFrame, settings: FilterSettings | None = None)
     Native checks run first; only files that pass them send their text to the YAML check.
     """
     s = settings or FilterSettings()
-    early = files.withColumn("_early", _early_reason(s))
+    early = computed(files, _early=_early_reason(s))
     if s.valid_yaml:
         undecided = F.when(F.col("_early").isNull(), F.col("content"))
         early = early.withColumn("_yaml", corpus.yaml_valid(undecided))
     else:
         early = early.withColumn("_yaml", F.lit(True))
     reason = F.coalesce(F.col("_early"), F.when(~F.col("_yaml"), "invalid_yaml"), _late_reason(s))
-    return early.withColumn("reason", reason).drop("_early", "_yaml")
+    return computed(early, reason=reason).drop("_early", "_yaml")
 
 
-def curate(files: DataFrame, settings: FilterSettings | None = None) -> DataFrame:
+def curate(files: DataFrame, settings: FilterSettings | None = None,
+           keep: Sequence[str] = ("hexsha",)) -> DataFrame:
     """Filter, redact, re-check and wrap: every input row with its final ``reason``, and the
     training record (``messages``, ``_meta``) where the reason is 'ok'.
 
     The YAML check after redaction only sees texts that redaction changed.
     """
-    judged = with_filter_reason(files, settings).withColumn(
-        "_clean", F.when(F.col("reason") == "ok", corpus.redact("content"))
+    judged = computed(
+        with_filter_reason(files, settings),
+        _clean=F.when(F.col("reason") == "ok", corpus.redact("content")),
     )
     changed = F.when(F.col("_clean") != F.col("content"), F.col("_clean"))
     checked = judged.withColumn("_still", corpus.yaml_valid(changed))
     broken = ~F.coalesce(F.col("_still"), F.lit(True))
-    final = checked.withColumn(
-        "reason", F.when(broken, "invalid_yaml_post_redaction").otherwise(F.col("reason"))
+    final = computed(
+        checked,
+        reason=F.when(broken, "invalid_yaml_post_redaction").otherwise(F.col("reason")),
+        _path=corpus.best_path(),
     )
-    path = corpus.best_path()
     wrapped = corpus.wrap_manifest("_clean")
     good = F.col("reason") == "ok"
     return final.select(
-        "hexsha", "reason",
+        *keep, "reason",
         F.when(good, F.array(
-            message("user", corpus.synthesize_prompt(path)), message("assistant", wrapped)
+            message("user", corpus.synthesize_prompt("_path")), message("assistant", wrapped)
         )).alias("messages"),
         F.when(good, F.struct(
-            F.col("hexsha"), path.alias("path"), F.col("size"),
+            F.col("hexsha"), F.col("_path").alias("path"), F.col("size"),
             corpus.licenses().alias("licenses"),
         )).alias("_meta"),
     )
@@ -241,7 +244,7 @@ def diagnostics(files: DataFrame, settings: FilterSettings | None = None) -> Dat
 def record_fields(records: DataFrame) -> DataFrame:
     """Flat slice fields of two-message records whose assistant turn is readable."""
     manifest = corpus.manifest_of(F.col("messages")[1]["content"])
-    fields = records.filter(F.size("messages") == 2).withColumn("_manifest", manifest)
+    fields = computed(records.filter(F.size("messages") == 2), _manifest=manifest)
     return fields.filter(F.col("_manifest").isNotNull()).select(
         *records.columns,
         corpus.manifest_type("_manifest").alias("iac_type"),
@@ -293,22 +296,17 @@ def record_violations(lines: DataFrame, column: str = "record") -> DataFrame:
     Works on the JSON text, so an absent key and a null value stay different things.
     """
     text = F.col(column)
-    fields = chats.json_object(text)
-    parsed = lines.withColumn("_fields", fields).withColumn(
-        "_messages", F.from_json(F.col("_fields")["messages"],
-                                 "array<struct<role string, content string>>")
-    )
+    parsed = computed(lines, _fields=chats.json_object(text))
+    shape = "array<struct<role string, content string>>"
+    parsed = computed(parsed, _messages=F.from_json(F.col("_fields")["messages"], shape))
     messages = F.col("_messages")
-    user, assistant = messages[0], messages[1]
-    parsed = parsed.withColumn("_two", F.coalesce(F.size("_messages"), F.lit(0)) == 2)
-    parsed = parsed.withColumn(
-        "_reply", F.when(F.col("_two"), chats.json_object(assistant["content"]))
-    )
-    parsed = parsed.withColumn(
-        "_manifest",
-        F.coalesce(F.when(F.col("_reply").isNotNull(),
-                          corpus.manifest_of(assistant["content"])), F.lit("")),
+    user, assistant = F.get(messages, F.lit(0)), F.get(messages, F.lit(1))
+    parsed = computed(parsed, _two=F.coalesce(F.size("_messages"), F.lit(0)) == 2)
+    parsed = computed(
+        parsed, _reply=F.when(F.col("_two"), chats.json_object(assistant["content"]))
     )
+    manifest = F.when(F.col("_reply").isNotNull(), corpus.manifest_of(assistant["content"]))
+    parsed = computed(parsed, _manifest=F.coalesce(manifest, F.lit("")))
     parsed = parsed.withColumn(
         "_yaml", corpus.yaml_valid(F.when(F.col("_manifest") != "", F.col("_manifest")))
     )
@@ -344,7 +342,7 @@ def record_violations(lines: DataFrame, column: str = "record") -> DataFrame:
     violations = F.when(
         F.col("_fields").isNull(), F.array(F.lit("unparseable_line"))
     ).otherwise(F.array_compact(F.array(*found)))
-    return parsed.withColumn("violations", violations).select(
+    return computed(parsed, violations=violations).select(
         *lines.columns, "violations", F.col("_manifest").alias("manifest"),
         F.when(two, user["content"]).alias("prompt"),
         F.get_json_object(text, "$._meta.size").try_cast("bigint").alias("source_size"),

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opsloom.functions import logs, rules, traces
-from opsloom.functions.common import col, strip
+from opsloom.functions.common import col, computed, strip
+from opsloom.operators import quality
 
 
 def _packed(**fields: str) -> Column:
@@ -85,10 +86,11 @@ def normalize_mixed(raw: DataFrame, system: Column | str = "system") -> DataFram
             result = result.when(name == other, build(other))
         return result
 
-    return raw.select(
-        name.alias("system"),
+    judged = computed(raw.withColumn("system", name), severity=per_system(_severity))
+    return judged.select(
+        "system",
         per_system(_timestamp).alias("timestamp"),
-        per_system(_severity).alias("severity"),
+        "severity",
         per_system(_source).alias("source"),
         F.col("EventId").alias("event_id"),
         F.col("EventTemplate").alias("event_template"),
@@ -110,8 +112,9 @@ def merge_events(normalized: Mapping[str, DataFrame]) -> DataFrame:
 
 def label_event_types(events: DataFrame) -> DataFrame:
     """Fill ``event_type`` from message, template and severity."""
-    kind = logs.event_type("message", "event_template", "severity")
-    return events.withColumn("event_type", kind)
+    combined = events.withColumn("_text", logs.labelled_text("message", "event_template"))
+    kind = logs.event_type_of("_text", "severity")
+    return computed(combined, event_type=kind).select(*events.columns)
 
 
 def sample_events(events: DataFrame, percent: int = 10) -> DataFrame:
@@ -271,7 +274,9 @@ def event_sequences(events: DataFrame, max_length: int = rules.MAX_SEQUENCE_LENG
     """
     fields = with_sequence_fields(events)
     group = ["system", "window"]
-    labels = fields.groupBy(*group).agg(F.max("event_label").alias("label"))
+    labels = fields.groupBy(
+        F.col("system").alias("_system"), F.col("window").alias("_window")
+    ).agg(F.max("event_label").alias("label"))
     latest = Window.partitionBy(*group).orderBy(
         F.desc_nulls_last("timestamp_dt"), F.desc("raw_id"), F.desc("event_int")
     )
@@ -280,11 +285,11 @@ def event_sequences(events: DataFrame, max_length: int = rules.MAX_SEQUENCE_LENG
     ).filter(F.col("rank") <= max_length)
     ordered = F.sort_array(F.collect_list(F.struct(-F.col("rank"), F.col("event_int").alias("v"))))
     tokens = last.groupBy(*group).agg(F.transform(ordered, lambda x: x["v"]).alias("tokens"))
-    same = tokens["system"].eqNullSafe(labels["system"]) & tokens["window"].eqNullSafe(
-        labels["window"]
+    same = F.col("system").eqNullSafe(F.col("_system")) & F.col("window").eqNullSafe(
+        F.col("_window")
     )
     return tokens.join(labels, same).select(
-        tokens["system"], tokens["window"],
+        "system", "window",
         traces.fit_length(F.col("tokens"), max_length).alias("sequence_ids"), "label",
     )
 
@@ -302,3 +307,41 @@ def parse_quality(events: DataFrame) -> DataFrame:
         F.max("event_int").alias("max_event"),
         F.count(logs.template_label("event_template")).alias("override_count"),
     )
+
+
+def event_checks(events: DataFrame) -> DataFrame:
+    """Schema and value checks of the labelled event table."""
+    return quality.run_checks(events, _event_checks(events) + [quality.row_count(1)])
+
+
+def _event_checks(events: DataFrame) -> list:
+    return [
+        quality.columns_present(events, rules.EVENT_COLUMNS),
+        quality.allowed_values(events, "system", rules.LOG_SYSTEMS),
+        quality.allowed_values(events, "severity", rules.SEVERITIES),
+        quality.allowed_values(events, "event_type", rules.EVENT_TYPES),
+        quality.no_nulls(events, ["event_id", "event_template", "message", "raw_id", "system"]),
+        quality.regex_match(events, "event_id", rules.EVENT_ID_PATTERN, "event_id_pattern"),
+    ]
+
+
+def quality_gate(events: DataFrame, templates: DataFrame, expected_rows: int,
+                 min_percent: float = 5.0) -> DataFrame:
+    """Everything that must hold before events are used: (check, success, violations).
+
+    Event checks, no empty ids or texts, a sampled share between ``min_percent`` and 100 % of
+    ``expected_rows``, every event id known to the templates and no doubled template key.
+    """
+    share = F.count("*") / F.lit(expected_rows) * 100
+    sampling = F.when((share >= min_percent) & (share <= 100), 0).otherwise(1).cast("bigint")
+    ids = ["event_id", "event_template", "message", "raw_id"]
+    checks = quality.run_checks(events, _event_checks(events) + [
+        quality.no_empty_strings(events, ids), quality.Check("sampling_sanity", sampling),
+    ])
+    uncovered = missing_templates(events, templates).agg(F.count("*").alias("violations"))
+    doubled = duplicate_templates(templates).agg(F.count("*").alias("violations"))
+    for name, frame in [("template_coverage", uncovered), ("template_no_duplicates", doubled)]:
+        checks = checks.unionByName(frame.select(
+            F.lit(name).alias("check"), (F.col("violations") == 0).alias("success"), "violations"
+        ))
+    return checks

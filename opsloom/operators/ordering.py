@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opsloom.session import checkpointed
@@ -59,20 +61,18 @@ def with_row_index(df: DataFrame, order_by: Sequence[str], partition_by: Sequenc
     indexed = _with_offset(placed, F.lit(1)).withColumn(name, F.col("_offset") + F.col("_pos"))
     indexed = indexed.drop("_part", "_pos", "_offset")
     if partition_by:
-        firsts = indexed.groupBy(*partition_by).agg(F.min(name).alias("_first"))
-        same = [indexed[c].eqNullSafe(firsts[c]) for c in partition_by]
-        joined = indexed.join(firsts, same[0] if len(same) == 1 else _all(same))
-        indexed = joined.select(
-            *[indexed[c] for c in df.columns], (indexed[name] - firsts["_first"]).alias(name)
+        firsts = indexed.groupBy(*[F.col(c).alias(f"_of_{c}") for c in partition_by]).agg(
+            F.min(name).alias("_first")
+        )
+        indexed = indexed.join(firsts, _same(partition_by)).withColumn(
+            name, F.col(name) - F.col("_first")
         )
     return indexed.select(*df.columns, name)
 
 
-def _all(conditions):
-    result = conditions[0]
-    for condition in conditions[1:]:
-        result = result & condition
-    return result
+def _same(group: Sequence[str]) -> Column:
+    """Join condition of group columns with their renamed copies; nulls are equal."""
+    return reduce(and_, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in group])
 
 
 QUARTILES = {"q25": (0.25, "nearest"), "median": (0.5, "linear"), "q75": (0.75, "nearest")}
@@ -106,14 +106,12 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str],
     ranked = placed.withColumn("_end", F.col("_offset") + F.sum("_w").over(within)).withColumn(
         "_start", F.col("_end") - F.col("_w")
     )
-    bounds = ranked.groupBy(*group).agg(
+    bounds = ranked.groupBy(*[F.col(g).alias(f"_of_{g}") for g in group]).agg(
         F.min("_start").alias("_first"), F.sum("_w").alias("n")
     )
-    matched = _all([ranked[g].eqNullSafe(bounds[g]) for g in group])
-    rows = ranked.join(bounds, matched).select(
-        *[ranked[g] for g in group], ranked["value"], bounds["n"],
-        (ranked["_start"] - bounds["_first"]).alias("start"),
-        (ranked["_end"] - bounds["_first"]).alias("end"),
+    rows = ranked.join(bounds, _same(group)).select(
+        *group, "value", "n", (F.col("_start") - F.col("_first")).alias("start"),
+        (F.col("_end") - F.col("_first")).alias("end"),
     )
     picks = [F.max("n").alias("n")]
     for name, (p, method) in quantiles.items():

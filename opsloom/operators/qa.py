@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opsloom.functions import rules, text
-from opsloom.functions.common import strip
+from opsloom.functions.common import computed, strip
 from opsloom.operators import quality
 from opsloom.operators.ordering import QUARTILES, exact_quantiles
 from opsloom.operators.profile import numeric_profile, top_list_values
@@ -108,18 +108,31 @@ def pair_by_accepted(questions: DataFrame, answers: DataFrame) -> DataFrame:
 
 def admitted(min_question: int = 20, min_answer: int = 50) -> Column:
     """Required fields are filled and both cleaned bodies are long enough."""
-    filled = (
-        (F.coalesce(F.col("question_id"), F.lit(0)) != 0)
-        & (F.coalesce(F.col("question_body"), F.lit("")) != "")
-        & (F.coalesce(F.col("answer_body"), F.lit("")) != "")
-    )
     return (
-        filled
+        _filled("question_body", "answer_body")
         & (F.char_length(text.clean_text("question_body")) >= min_question)
         & (F.char_length(text.clean_text("answer_body")) >= min_answer)
     )
 
 
+def _filled(question: str, answer: str) -> Column:
+    return (
+        (F.coalesce(F.col("question_id"), F.lit(0)) != 0)
+        & (F.coalesce(F.col(question), F.lit("")) != "")
+        & (F.coalesce(F.col(answer), F.lit("")) != "")
+    )
+
+
+def _long_enough(question: str, answer: str, min_question: int = 20,
+                 min_answer: int = 50) -> Column:
+    """The admission rule where ``question_body`` and ``answer_body`` are already clean."""
+    return (
+        _filled(question, answer)
+        & (F.char_length("question_body") >= min_question)
+        & (F.char_length("answer_body") >= min_answer)
+    )
+
+
 def qa_features(pairs: DataFrame) -> DataFrame:
     """Admitted pairs with cleaned bodies, signatures, types, metrics and a quality score.
 
@@ -128,22 +141,24 @@ def qa_features(pairs: DataFrame) -> DataFrame:
     def number(name: str) -> Column:
         return F.coalesce(F.col(name), F.lit(0))
 
-    scored = pairs.filter(admitted()).select(
-        "question_id", F.col("title").alias("_title"),
-        text.clean_text("title").alias("title"),
-        text.clean_text("question_body").alias("question_body"),
-        text.clean_text("answer_body").alias("answer_body"),
-        "tags", "score", "answer_score", "view_count",
+    cleaned = computed(
+        pairs.withColumn("_question", F.col("question_body"))
+        .withColumn("_answer", F.col("answer_body")).withColumn("_title", F.col("title")),
+        title=text.clean_text("title"), question_body=text.clean_text("question_body"),
+        answer_body=text.clean_text("answer_body"),
+    )
+    scored = cleaned.filter(_long_enough("_question", "_answer")).withColumn(
+        "quality_score",
         text.quality_score(
             number("score"), number("answer_score"), number("view_count"),
-            F.col("question_body"), F.col("answer_body"),
-        ).alias("quality_score"),
+            F.col("_question"), F.col("_answer"),
+        ),
     )
     both = F.concat_ws(
         " ", F.coalesce(F.col("_title"), F.lit("None")),
         F.col("question_body"), F.col("answer_body"),
     )
-    return scored.withColumn("_both", both).select(
+    return computed(scored, _both=both).select(
         "question_id", "title", "question_body", "answer_body", "tags", "score",
         "answer_score", "view_count",
         text.error_signatures("_both").alias("error_signatures"),

@@ -49,21 +49,30 @@ def usage_windows(usage: DataFrame, window_size: int = 5,
     )
 
 
-def task_sequences(tasks: DataFrame) -> DataFrame:
-    """Batch-task rows -> [cpu, memory, status] tokens and a label."""
+def fill_task_defaults(tasks: DataFrame) -> DataFrame:
+    """Tasks with an unknown status or type marked as such."""
+    return tasks.withColumn("status", F.coalesce("status", F.lit("Unknown"))).withColumn(
+        "task_type", F.coalesce("task_type", F.lit(-1)).cast("int")
+    )
+
+
+def task_sequences(tasks: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Batch-task rows -> [cpu, memory, status] tokens and a label; ``keep`` passes columns on."""
     status = F.coalesce(F.col("status"), F.lit("Unknown"))
     cpu = traces.cpu_token("plan_cpu")
     memory = traces.planned_memory_token("plan_mem")
     return tasks.select(
+        *keep,
         F.array(cpu, memory, traces.status_token(status)).alias("sequence_ids"),
         traces.task_label(status, cpu, memory).alias("label"),
     )
 
 
-def machine_event_sequences(events: DataFrame) -> DataFrame:
+def machine_event_sequences(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Machine-event rows -> [event, cpu, memory] tokens and a label."""
     kind = F.lower(F.coalesce(F.col("event_type"), F.lit("unknown")))
     return events.select(
+        *keep,
         F.array(
             traces.event_token(kind), traces.cpu_token("plan_cpu"),
             traces.planned_memory_token("plan_mem"),

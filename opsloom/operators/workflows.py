@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opsloom.functions import chats
-from opsloom.functions.common import col
+from opsloom.functions.common import col, let
 from opsloom.operators.qa import message
 
 SYSTEM_PROMPT = "You are an MLOps remediation engine."
@@ -43,7 +43,6 @@ def workflow_valid(text: Column | str) -> Column:
     tool name and parameters of the closed set (all optional, null allowed)."""
     text = col(text)
     parsed = F.try_parse_json(F.when(chats.json_object(text).isNotNull(), text))
-    steps = F.try_variant_get(parsed, "$.steps", "array<variant>")
 
     def field(value: Column, path: str) -> Column:
         return F.variant_get(value, path, "variant")
@@ -72,7 +71,10 @@ def workflow_valid(text: Column | str) -> Column:
         )
         return ~F.coalesce(good, F.lit(False))
 
-    return steps.isNotNull() & ~F.coalesce(F.exists(steps, bad), F.lit(True))
+    return let(
+        F.try_variant_get(parsed, "$.steps", "array<variant>"),
+        lambda steps: steps.isNotNull() & ~F.coalesce(F.exists(steps, bad), F.lit(True)),
+    )
 
 
 def workflow_records(pairs: DataFrame, system_prompt: str = SYSTEM_PROMPT) -> DataFrame:

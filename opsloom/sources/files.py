@@ -99,7 +99,10 @@ def write_parquet(df: DataFrame, path: str, rows_per_file: int | None = None) ->
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
-    df.write.option("header", header).option("escape", '"').mode("error").csv(path)
+    """CSV whose fields come back as they were, surrounding blanks included."""
+    writer = df.write.option("header", header).option("escape", '"')
+    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    writer.options(**keep).mode("error").csv(path)
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:
