@@ -32,7 +32,7 @@ def _single(text: Column, kind: str) -> Column:
         items = F.from_json(F.concat(F.lit("["), t, F.lit("]")), f"array<{kind}>", STRICT_JSON)
         probe = F.struct(items.alias("items"), _closes_cleanly(t).alias("clean"))
         return let(
-            probe, lambda p: F.when((F.size(p["items"]) == 1) & p["clean"], p["items"])
+            probe, lambda p: F.when((F.array_size(p["items"]) == 1) & p["clean"], p["items"])
         )
 
     return let(text, read)
@@ -67,7 +67,7 @@ def function_calls(chat: Column | str) -> Column:
         # a plain string that is no JSON itself stays a string: quote it again
         return F.struct(
             F.when(is_json(raw), raw).otherwise(quote_json(raw)).alias("text"),
-            F.size(F.array_distinct(F.map_keys(json_object(raw)))).alias("n"),
+            F.array_size(F.array_distinct(F.map_keys(json_object(raw)))).alias("n"),
         )
 
     def good(fields: Column) -> Column:
@@ -103,8 +103,8 @@ def complexity_tier(calls: Column) -> Column:
     def tier(c: Column) -> Column:
         first = F.get(c, F.lit(0))
         return first_match(
-            [(F.size(c) == 0, "none"),
-             (F.size(c) > 1, "complex"),
+            [(F.array_size(c) == 0, "none"),
+             (F.array_size(c) > 1, "complex"),
              (first["malformed"].isNotNull(), "malformed"),
              (first["n_arguments"] <= 2, "simple")],
             F.lit("moderate"),

@@ -152,11 +152,11 @@ def _occurrences(text: Column, mark: str) -> Column:
     return F.char_length(text) - F.char_length(F.replace(text, F.lit(mark), F.lit("")))
 
 
-def escape_difficulty(content: Column | str) -> Column:
+def escape_difficulty(content: Column | str, medium: int = 1000, hard: int = 5000) -> Column:
     """How hard the text is to embed in JSON: line breaks, quotes and backslashes."""
     text = col(content)
     score = _occurrences(text, "\n") + _occurrences(text, '"') * 2 + _occurrences(text, "\\") * 3
-    return first_match([(score > 5000, "hard"), (score > 1000, "medium")], F.lit("easy"))
+    return first_match([(score > hard, "hard"), (score > medium, "medium")], F.lit("easy"))
 
 
 def size_bucket(size: Column | str) -> Column:
@@ -179,7 +179,7 @@ def license_class(names: Column | str) -> Column:
         F.transform(names, lambda x: strip(F.lower(x))),
         lambda x: x.isin(rules.PERMISSIVE_LICENSES),
     )
-    return F.when(F.coalesce(F.size(names), F.lit(0)) <= 0, F.lit("unknown")).otherwise(
+    return F.when(F.coalesce(F.array_size(names), F.lit(0)) <= 0, F.lit("unknown")).otherwise(
         F.coalesce(F.get(known, F.lit(0)), F.lit("other"))
     )
 

@@ -107,7 +107,7 @@ def time_bucket(timestamp: Column | str, system: Column | str) -> Column:
     text = F.coalesce(strip(timestamp), F.lit("None"))
     words = F.split(text, SPACES)
     hdfs = F.when(
-        F.size(words) == 2, F.concat(words[0], F.lit(" "), F.left(words[1], F.lit(4)))
+        F.array_size(words) == 2, F.concat(words[0], F.lit(" "), F.left(words[1], F.lit(4)))
     ).otherwise(F.left(text, F.lit(9)))
     clock = F.substring_index(text, " ", -1)
     day = F.substring(text, F.lit(1), F.char_length(text) - F.char_length(clock) - 1)

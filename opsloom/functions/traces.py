@@ -60,8 +60,8 @@ def machine_event_label(kind: Column) -> Column:
 def fit_length(values: Column | str, length: int = rules.MAX_SEQUENCE_LENGTH) -> Column:
     """Keep the last ``length`` values, or pad with zeros at the end to that length."""
     values = col(values)
-    missing = F.greatest(F.lit(length) - F.size(values), F.lit(0))
+    missing = F.greatest(F.lit(length) - F.array_size(values), F.lit(0))
     zeros = F.array_repeat(F.lit(0).cast("bigint"), missing)
-    return F.when(F.size(values) > length, F.slice(values, -length, length)).otherwise(
+    return F.when(F.array_size(values) > length, F.slice(values, -length, length)).otherwise(
         F.concat(values, zeros)
     )

@@ -43,15 +43,15 @@ def call_features(raw: DataFrame) -> DataFrame:
     return parsed.select(
         "system", "chat",
         chats.user_turns("chat").alias("num_turns"),
-        F.size(calls).alias("num_calls"),
+        F.array_size(calls).alias("num_calls"),
         chats.complexity_tier(calls).alias("complexity_tier"),
-        (F.size(calls) > 1).alias("has_parallel"),
+        (F.array_size(calls) > 1).alias("has_parallel"),
         chats.has_malformed(calls).alias("has_malformed"),
         chats.calls_json(calls).alias("function_calls"),
         defined.cast("int").alias("num_defined_functions"),
         names.alias("defined_function_names"),
         chats.signatures_json(signature).alias("function_signatures"),
-        (F.size("words") > 0).alias("has_error_handling"),
+        (F.array_size("words") > 0).alias("has_error_handling"),
         chats.has_function_error("chat").alias("has_function_error_response"),
         chats.has_conditional_error("chat").alias("has_conditional_error"),
         F.to_json("words").alias("error_keywords_found"),
@@ -75,7 +75,7 @@ def chat_messages(features: DataFrame, system_prompt: str = SYSTEM_PROMPT) -> Da
     without = F.concat(
         F.lit('{"workflow":{"steps":[]},"message":'), chats.quote_json(reply), F.lit("}")
     )
-    usable = (F.size("calls") > 0) & ~F.col("has_malformed")
+    usable = (F.array_size("calls") > 0) & ~F.col("has_malformed")
     tools = F.concat(F.lit(f"{system_prompt}\nAvailable Tools: "), F.col("function_signatures"))
     return features.select(
         F.array(

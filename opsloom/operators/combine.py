@@ -51,7 +51,7 @@ def combine_json_lines(lines: DataFrame, value: str = "value",
         F.lit('"source_dataset":'), chats.quote_json(F.col(source)), F.lit("}")
     )
     body = F.regexp_replace(text, r"\}\s*$", "")
-    empty = F.size(F.json_object_keys(text)) == 0
+    empty = F.array_size(F.json_object_keys(text)) == 0
     record = F.concat(body, F.when(empty, "").otherwise(", "), tag)
     return lines.filter(chats.json_object(text).isNotNull()).select(
         record.alias("record"), F.col(source).alias("source_dataset")

@@ -76,9 +76,9 @@ def _late_reason(s: FilterSettings) -> Column:
     cases = []
     if s.licenses:
         if s.require_license:
-            cases.append((F.size(names) == 0, "missing_license"))
+            cases.append((F.array_size(names) == 0, "missing_license"))
         listed = F.array(*[F.lit(x.lower()) for x in s.licenses])
-        cases.append(((F.size(names) > 0) & ~F.arrays_overlap(names, listed), "bad_license"))
+        cases.append(((F.array_size(names) > 0) & ~F.arrays_overlap(names, listed), "bad_license"))
     if s.require_ml:
         keyword = corpus.has_keyword("content", list(s.ml_groups))
         gates = corpus.kubernetes_gates("content", s.api_version, s.kind, s.metadata)
@@ -244,7 +244,7 @@ def diagnostics(files: DataFrame, settings: FilterSettings | None = None) -> Dat
 def record_fields(records: DataFrame) -> DataFrame:
     """Flat slice fields of two-message records whose assistant turn is readable."""
     manifest = corpus.manifest_of(F.col("messages")[1]["content"])
-    fields = computed(records.filter(F.size("messages") == 2), _manifest=manifest)
+    fields = computed(records.filter(F.array_size("messages") == 2), _manifest=manifest)
     return fields.filter(F.col("_manifest").isNotNull()).select(
         *records.columns,
         corpus.manifest_type("_manifest").alias("iac_type"),
@@ -301,7 +301,7 @@ def record_violations(lines: DataFrame, column: str = "record") -> DataFrame:
     parsed = computed(parsed, _messages=F.from_json(F.col("_fields")["messages"], shape))
     messages = F.col("_messages")
     user, assistant = F.get(messages, F.lit(0)), F.get(messages, F.lit(1))
-    parsed = computed(parsed, _two=F.coalesce(F.size("_messages"), F.lit(0)) == 2)
+    parsed = computed(parsed, _two=F.coalesce(F.array_size("_messages"), F.lit(0)) == 2)
     parsed = computed(
         parsed, _reply=F.when(F.col("_two"), chats.json_object(assistant["content"]))
     )
@@ -311,7 +311,7 @@ def record_violations(lines: DataFrame, column: str = "record") -> DataFrame:
         "_yaml", corpus.yaml_valid(F.when(F.col("_manifest") != "", F.col("_manifest")))
     )
     two, reply, manifest = F.col("_two"), F.col("_reply"), F.col("_manifest")
-    n = F.greatest(F.coalesce(F.size("_messages"), F.lit(0)), F.lit(0))
+    n = F.greatest(F.coalesce(F.array_size("_messages"), F.lit(0)), F.lit(0))
     meta_keys = F.coalesce(
         F.json_object_keys(F.col("_fields")["_meta"]), F.array().cast("array<string>")
     )
@@ -351,7 +351,7 @@ def record_violations(lines: DataFrame, column: str = "record") -> DataFrame:
 
 def validation_summary(validated: DataFrame) -> DataFrame:
     """One row: total, valid, invalid, pass rate in percent."""
-    valid = F.count_if(F.size("violations") == 0)
+    valid = F.count_if(F.array_size("violations") == 0)
     total = F.count("*")
     return validated.agg(
         total.alias("total"), valid.alias("valid"), (total - valid).alias("invalid"),
@@ -386,7 +386,7 @@ def length_profile(validated: DataFrame) -> DataFrame:
             F.lit(name).alias("measure"),
             *[F.col(f"{name}_{m}").alias(m) for m in ("count", "min", "max", "mean", "median")],
         ))
-    row = validated.filter(F.size("violations") == 0).agg(*aggs)
+    row = validated.filter(F.array_size("violations") == 0).agg(*aggs)
     return row.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 

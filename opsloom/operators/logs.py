@@ -86,11 +86,12 @@ def normalize_mixed(raw: DataFrame, system: Column | str = "system") -> DataFram
             result = result.when(name == other, build(other))
         return result
 
-    judged = computed(raw.withColumn("system", name), severity=per_system(_severity))
+    judged = computed(
+        raw.withColumn("system", name),
+        timestamp=per_system(_timestamp), severity=per_system(_severity),
+    )
     return judged.select(
-        "system",
-        per_system(_timestamp).alias("timestamp"),
-        "severity",
+        "system", "timestamp", "severity",
         per_system(_source).alias("source"),
         F.col("EventId").alias("event_id"),
         F.col("EventTemplate").alias("event_template"),
@@ -123,7 +124,7 @@ def sample_events(events: DataFrame, percent: int = 10) -> DataFrame:
 
 
 def with_time_bucket(events: DataFrame) -> DataFrame:
-    return events.withColumn("time_bucket", logs.time_bucket("timestamp", "system"))
+    return computed(events, time_bucket=logs.time_bucket("timestamp", "system"))
 
 
 def event_counts(events: DataFrame) -> DataFrame:

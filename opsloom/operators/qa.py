@@ -459,7 +459,7 @@ def slice_bias(metrics: DataFrame, overall: DataFrame, threshold: float = 0.25)
                factor("underrepresentation", F.lit(0.0), nothing)),
     ))
     worst = F.array_max(F.transform("factors", lambda f: f["difference_ratio"]))
-    n = F.size("factors")
+    n = F.array_size("factors")
     severity = (
         F.when(n == 0, "none").when((worst > 0.75) | (n >= 3), "high")
         .when((worst > 0.5) | (n >= 2), "medium").otherwise("low")

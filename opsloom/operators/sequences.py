@@ -16,12 +16,12 @@ def label_name(label: Column | str = "label") -> Column:
 
 
 def _tokens_between(low: int, high: int) -> Column:
-    return F.size(F.filter("sequence_ids", lambda t: t.between(low, high)))
+    return F.array_size(F.filter("sequence_ids", lambda t: t.between(low, high)))
 
 
 def sequence_statistics(sequences: DataFrame) -> DataFrame:
     """Tidy (metric, value): labels, lengths, token families and quality counters."""
-    size = F.size("sequence_ids")
+    size = F.array_size("sequence_ids")
     row = sequences.agg(
         F.count("*").alias("total_sequences"),
         F.min(size).alias("length_min"), F.max(size).alias("length_max"),
@@ -54,7 +54,7 @@ def sequence_errors(sequences: DataFrame) -> DataFrame:
     tokens = F.col("sequence_ids")
     rules_broken = F.array_compact(F.array(
         F.when(tokens.isNull(), "sequence_ids is missing"),
-        F.when(F.size(tokens) == 0, "sequence_ids is empty"),
+        F.when(F.array_size(tokens) == 0, "sequence_ids is empty"),
         F.when(F.coalesce(~F.col("label").between(0, 4), F.lit(True)), "invalid label"),
         F.when(F.exists(tokens, lambda t: t.isNull()), "non-integer token"),
     ))

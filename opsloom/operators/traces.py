@@ -39,7 +39,7 @@ def usage_windows(usage: DataFrame, window_size: int = 5,
     return (
         tokens.groupBy(*keys, "window")
         .agg(F.collect_list("reading").alias("readings"))
-        .filter(F.size("readings") == window_size)
+        .filter(F.array_size("readings") == window_size)
         .select(
             *keys, "window",
             F.flatten(F.transform(readings, lambda r: F.array(r["cpu"], r["mem"])))

@@ -62,7 +62,7 @@ def workflow_valid(text: Column | str) -> Column:
             & F.coalesce(F.schema_of_variant(tool) == "STRING", F.lit(False))
             & F.coalesce(F.schema_of_variant(params).startswith("OBJECT"), F.lit(False))
             & F.coalesce(
-                F.size(F.array_except(keys, F.array(*[F.lit(k) for k in PARAM_KEYS]))) == 0,
+                F.array_size(F.array_except(keys, F.array(*[F.lit(k) for k in PARAM_KEYS]))) == 0,
                 F.lit(False),
             )
             & optional(deployment, F.schema_of_variant(deployment) == "STRING")
@@ -94,23 +94,23 @@ def workflow_records(pairs: DataFrame, system_prompt: str = SYSTEM_PROMPT) -> Da
 
 def chat_errors(records: DataFrame) -> DataFrame:
     """Add ``errors``: structural rules a chat record breaks (empty if it conforms)."""
-    size = F.coalesce(F.size("messages"), F.lit(-1))
+    size = F.coalesce(F.array_size("messages"), F.lit(-1))
     missing = chats.roles_missing("messages")
     return records.withColumn("errors", F.array_compact(F.array(
         F.when(F.col("messages").isNull(), "missing 'messages'"),
         F.when(F.col("messages").isNotNull() & (size < 3), "fewer than 3 messages"),
-        F.when((size >= 3) & (F.size(missing) > 0), "missing a required role"),
+        F.when((size >= 3) & (F.array_size(missing) > 0), "missing a required role"),
     )))
 
 
 def chat_anomalies(records: DataFrame) -> DataFrame:
     """One row per anomaly of a chat record: the record's columns plus ``anomaly``."""
-    size = F.coalesce(F.size("messages"), F.lit(-1))
+    size = F.coalesce(F.array_size("messages"), F.lit(-1))
     enough = size >= 3
     replies = F.filter("messages", lambda m: m["role"] == "assistant")
     # the last message of a role is the one that counts
     reply = F.element_at(F.transform(replies, lambda m: m["content"]), F.lit(-1))
-    has_reply = F.when(F.size(replies) > 0, reply)
+    has_reply = F.when(F.array_size(replies) > 0, reply)
     found = F.concat(
         F.array_compact(F.array(
             F.when(F.col("messages").isNull(), "missing 'messages'"),
@@ -131,7 +131,7 @@ def chat_anomalies(records: DataFrame) -> DataFrame:
 
 def chat_statistics(records: DataFrame) -> DataFrame:
     """One row: records, blank intents, records without at least three messages."""
-    few = F.coalesce(F.size("messages"), F.lit(-1)) < 3
+    few = F.coalesce(F.array_size("messages"), F.lit(-1)) < 3
     intents = (
         F.count_if(F.coalesce(F.col("user_intent"), F.lit("")) == "")
         if "user_intent" in records.columns else F.lit(0).cast("bigint")

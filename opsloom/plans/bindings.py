@@ -188,7 +188,7 @@ def questions(dialect: str) -> list[tuple[str, str]]:
                       "'<terraform><kubernetes>'", "''", "NULL", "'<airflow>'")),
         ("Score", "CASE WHEN conv_id % 47 = 8 THEN 'n/a' WHEN conv_id % 43 = 9 THEN '' "
                   "ELSE CAST(conv_id % 40 AS STRING) END"),
-        ("ViewCount", "CAST((conv_id * 37) % 5000 AS STRING)"),
+        ("ViewCount", "CAST(((conv_id * 37) % 500) * 10 AS STRING)"),
         ("AcceptedAnswerId", "CASE WHEN conv_id % 11 = 0 THEN ' ' "
                              f"ELSE CAST({QUESTION_ID} + 1 AS STRING) END"),
         ("CreationDate", "'2024-01-01'"),

@@ -154,7 +154,7 @@ def a11_json_lines_sink(t: Tables) -> DataFrame:
     back = files.read_json_lines(t.spark, path, records.schema)
     return back.select(
         F.col("metadata.question_id").alias("question_id"),
-        F.size("messages").alias("n_messages"),
+        F.array_size("messages").alias("n_messages"),
         F.md5(F.col("messages")[1]["content"]).alias("question_md5"),
         F.col("metadata.quality_score").alias("quality_score"),
     )
@@ -922,9 +922,9 @@ def g36_manifest_type(t: Tables) -> DataFrame:
 
 @query
 def g37_escape_difficulty(t: Tables) -> DataFrame:
-    doubled = F.repeat(F.coalesce("content", F.lit("")), 40)
+    content = F.coalesce("content", F.lit(""))
     return t.files().select(
-        "doc_id", corpus_columns.escape_difficulty(doubled).alias("difficulty")
+        "doc_id", corpus_columns.escape_difficulty(content, 15, 40).alias("difficulty")
     )
 
 
@@ -1194,11 +1194,12 @@ def i22_record_violations(t: Tables) -> DataFrame:
 
 @query
 def j1_iqr_outliers(t: Tables) -> DataFrame:
+    customer = F.col("o_custkey").cast("double")
     prices = t.read("orders").select(
         F.col("o_orderkey").alias("question_id"), "o_totalprice",
-        (F.col("o_custkey") * F.col("o_custkey")).alias("squared"),
+        (customer * customer * customer * customer).alias("skewed"),
     )
-    return qa.iqr_outliers(prices, "question_id", ["o_totalprice", "squared"]).select(
+    return qa.iqr_outliers(prices, "question_id", ["o_totalprice", "skewed"]).select(
         "question_id", "column", *[F.round(c, 4).alias(c)
                                    for c in ("value", "lower_bound", "upper_bound")]
     )
