@@ -225,7 +225,7 @@ ERROR_WORDS = "[" + ", ".join(
     f"CASE WHEN contains(lower(chat), {lit(w)}) THEN {lit(w)} END"
     for w in rules.CALL_ERROR_WORDS) + "]"
 
-YAML_BROKEN = "(doc_id % 8 = 5)"
+YAML_BROKEN = "(doc_id % 8 IN (5, 7))"
 EXT = r"lower(regexp_replace(coalesce(ext, ''), '^\.+', ''))"
 REASON = f"""CASE WHEN c = '' THEN 'empty_content' WHEN coalesce(size, 0) < 200 THEN 'too_small'
   WHEN size > 500000 THEN 'too_large' WHEN alphanum_fraction < 0.25 THEN 'low_alphanum'
@@ -1152,8 +1152,8 @@ SELECT system AS slice, 'error_rate' AS metric, rate AS value, round(lim, 4) AS
   (SELECT system, round(count(*) FILTER (severity = 'ERROR') / count(*), 4) AS rate
    FROM labelled GROUP BY system) WHERE rate > lim AND lim > 0
 UNION ALL SELECT system || '/' || event_type, 'event_type_dominance', round(n / total, 4),
-  CAST(0.21 AS DOUBLE) FROM (SELECT system, event_type, count(*) AS n,
-    sum(count(*)) OVER (PARTITION BY event_type) AS total FROM labelled GROUP BY ALL)
+  CAST(0.21 AS DOUBLE) FROM (SELECT *, sum(n) OVER (PARTITION BY event_type) AS total FROM (
+    SELECT system, event_type, count(*) AS n FROM labelled GROUP BY ALL))
   WHERE total >= 5 AND n / total > CAST(0.21 AS DOUBLE)""".replace(
         "WITH t AS", "SELECT * FROM (WITH t AS", 1) + ")", "labelled")
     q["k4_slice_members"] = using("""SELECT slice, count(*) AS count FROM slices GROUP BY 1
