@@ -494,8 +494,25 @@ EVENT_CHECKS["columns_present"] = "0 * count(*)"
 IDS = ["event_id", "event_template", "message", "raw_id"]
 
 
+# columns Spark returns as 32-bit integers
+INT_COLUMNS = {
+    "d9_text_profile": ["min_length", "max_length"],
+    "d10_table_profile": ["min_length", "max_length"],
+    "e5_top_templates": ["rank"],
+    "g18_text_metrics": ["char_count", "word_count", "sentence_count", "code_block_count"],
+    "g24_function_calls": ["position", "n_arguments"],
+    "g27_user_turns": ["turns"],
+    "g29_call_features": ["num_turns", "num_calls"],
+    "g30_chat_messages": ["num_turns", "num_calls"],
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {name: text for name, text in _oracles().items()}
+    sql = _oracles()
+    for name, columns in INT_COLUMNS.items():
+        casts = ", ".join(f"CAST({c} AS INTEGER) AS {c}" for c in columns)
+        sql[name] = f"SELECT * REPLACE ({casts}) FROM ({sql[name]})"
+    return sql
 
 
 def _usage_windows(size: int, keys: str) -> str:
