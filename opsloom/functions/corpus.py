@@ -9,7 +9,7 @@ from pyspark.sql.types import BooleanType
 
 from opsloom.functions import rules
 from opsloom.functions.common import (
-    any_of, blank_to_null, col, contains_any, first_match, strip,
+    any_of, blank_to_null, col, contains_any, first_match, let, strip,
 )
 
 LICENSE_COLUMNS = [
@@ -81,9 +81,18 @@ def has_keyword(content: Column | str, groups: list[str] | None = None) -> Colum
     return contains_any(F.lower(col(content)), words)
 
 
+def folded(content: Column | str) -> Column:
+    """Text in one case; every text a case-insensitive pattern can match keeps matching."""
+    return F.lower(F.upper(col(content)))
+
+
 def keyword_count(content: Column | str, word: str) -> Column:
-    """Non-overlapping, case-insensitive occurrences of a literal word."""
-    return F.regexp_count(col(content), F.lit(rf"(?iu)\Q{word}\E"))
+    """Non-overlapping, case-insensitive occurrences of a literal word.
+
+    A plain substring test spares most texts the pattern.
+    """
+    hits = F.regexp_count(col(content), F.lit(rf"(?iu)\Q{word}\E"))
+    return F.when(folded(content).contains(word.lower()), hits).otherwise(0)
 
 
 def pii_pattern(name: str, any_case: bool = False) -> str:
@@ -91,17 +100,37 @@ def pii_pattern(name: str, any_case: bool = False) -> str:
     return ("(?iuU)" if any_case else "(?U)") + rules.PII_PATTERNS[name]
 
 
+def _may_hold(content: Column, name: str) -> Column:
+    """A cheap test that every text with a match of the pattern passes."""
+    if name == "ipv4":
+        return content.rlike(r"\p{Nd}\.\p{Nd}")
+    if name == "creds":
+        return contains_any(folded(content), ["password", "token", "api_key", "secret"])
+    return content.contains({"email": "@", "api_key": "sk-"}[name])
+
+
 def redact(content: Column | str) -> Column:
-    """Replace addresses, keys, e-mails and credentials by markers, in the fixed order."""
+    """Replace addresses, keys, e-mails and credentials by markers, in the fixed order.
+
+    The patterns are costly on long texts, so each one only runs where its cheap test passes.
+    """
+    def replacing(name: str):
+        def replaced(text: Column) -> Column:
+            pattern = pii_pattern(name, any_case=name == "creds")
+            clean = F.regexp_replace(text, pattern, rules.PII_REPLACEMENTS[name])
+            return F.when(_may_hold(text, name), clean).otherwise(text)
+
+        return replaced
+
     out = col(content)
     for name in rules.PII_REDACTION_ORDER:
-        pattern = pii_pattern(name, any_case=name == "creds")
-        out = F.regexp_replace(out, pattern, rules.PII_REPLACEMENTS[name])
+        out = let(out, replacing(name))
     return out
 
 
 def pii_found(content: Column | str, name: str) -> Column:
-    return col(content).rlike(pii_pattern(name))
+    content = col(content)
+    return _may_hold(content, name) & content.rlike(pii_pattern(name))
 
 
 def has_pii(content: Column | str) -> Column:

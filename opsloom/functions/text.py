@@ -62,7 +62,10 @@ def word_count(text: Column | str) -> Column:
 
 
 def code_count(text: Column | str) -> Column:
-    return F.regexp_count(F.coalesce(col(text), F.lit("")), F.lit(rules.CODE_BLOCK))
+    text = F.coalesce(col(text), F.lit(""))
+    return F.when(
+        text.contains("`"), F.regexp_count(text, F.lit(rules.CODE_BLOCK))
+    ).otherwise(0)
 
 
 def text_metrics(text: Column | str) -> Column:

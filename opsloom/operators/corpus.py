@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from opsloom.functions import chats, corpus, rules
 from opsloom.functions.common import computed, first_match, strip
 from opsloom.operators.qa import message
+from opsloom.session import checkpointed
 
 SLICE_DIMENSIONS = ["iac_type", "license", "size_bucket", "prompt_type"]
 
@@ -311,7 +312,9 @@ def record_violations(lines: DataFrame, column: str = "record") -> DataFrame:
         "_yaml", corpus.yaml_valid(F.when(F.col("_manifest") != "", F.col("_manifest")))
     )
     two, reply, manifest = F.col("_two"), F.col("_reply"), F.col("_manifest")
-    n = F.greatest(F.coalesce(F.array_size("_messages"), F.lit(0)), F.lit(0))
+    n = F.coalesce(F.array_size("_messages"), F.lit(0))
+    # cheap tests that every match of the leak patterns passes, in the patterns' order
+    hints = [manifest.contains("sk-"), manifest.rlike(r"\p{Nd}\.\p{Nd}"), manifest.contains("@")]
     meta_keys = F.coalesce(
         F.json_object_keys(F.col("_fields")["_meta"]), F.array().cast("array<string>")
     )
@@ -332,8 +335,8 @@ def record_violations(lines: DataFrame, column: str = "record") -> DataFrame:
         F.when(~F.coalesce(F.col("_yaml"), F.lit(True)), "manifest_invalid_yaml"),
     ]
     found += [
-        F.when((manifest != "") & manifest.rlike("(?U)" + p), f"pii_leaked:{p[:20]}")
-        for p in rules.PII_LEAK_PATTERNS
+        F.when((manifest != "") & hint & manifest.rlike("(?U)" + p), f"pii_leaked:{p[:20]}")
+        for p, hint in zip(rules.PII_LEAK_PATTERNS, hints)
     ]
     found += [
         F.when(~F.array_contains(meta_keys, k), f"missing_meta_key:{k}")
@@ -390,20 +393,44 @@ def length_profile(validated: DataFrame) -> DataFrame:
     return row.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
+def validation_report(validated: DataFrame) -> DataFrame:
+    """Tidy (name, value): the validation summary and every violation's count, in one pass."""
+    valid = F.array_size("violations") == 0
+    marks = F.array_compact(F.array(
+        F.lit("total"), F.when(valid, "valid"), F.when(~valid, "invalid")
+    ))
+    # a row per kind of violation, needed twice: write the few rows, not the work behind them
+    counts = checkpointed(
+        validated.select(F.explode(F.concat(marks, "violations")).alias("name")).groupBy(
+            "name"
+        ).agg(F.count("*").cast("double").alias("value"))
+    )
+    total = F.sum(F.when(F.col("name") == "total", F.col("value")))
+    passed = F.coalesce(F.sum(F.when(F.col("name") == "valid", F.col("value"))), F.lit(0.0))
+    rate = counts.agg(F.round(passed / total * 100, 2).alias("value")).select(
+        F.lit("pass_rate_pct").alias("name"), "value"
+    )
+    return counts.unionByName(rate)
+
+
 def report_checks(validated: DataFrame, min_pass_rate: float = 80.0, max_violations: int = 50,
                   max_pii: int = 0, min_records: int = 10) -> DataFrame:
     """Four alarms over the validation outcome: (check, value, threshold, is_anomaly)."""
-    counts = violation_counts(validated)
-    leaks = F.sum(F.when(F.col("violation").startswith("pii_leaked"), F.col("count")))
-    worst = counts.agg(F.struct(
-        F.coalesce(F.max("count"), F.lit(0)).alias("worst"),
-        F.coalesce(leaks, F.lit(0)).alias("leaks"),
-    )).scalar()
-    row = validation_summary(validated).withColumn("_w", worst)
+    name, value = F.col("name"), F.col("value")
+    summary = name.isin("total", "valid", "invalid", "pass_rate_pct")
+
+    def of(condition: Column, agg=F.sum) -> Column:
+        return F.coalesce(agg(F.when(condition, value)), F.lit(0.0))
+
+    row = validation_report(validated).agg(
+        of(name == "pass_rate_pct").alias("rate"),
+        of(name.startswith("pii_leaked")).alias("leaks"),
+        of(~summary, F.max).alias("worst"), of(name == "total").alias("total"),
+    )
     checks = [
-        ("pass_rate", F.col("pass_rate_pct"), min_pass_rate, "low"),
-        ("pii_leakage", F.col("_w.leaks"), max_pii, "high"),
-        ("violation_count", F.col("_w.worst"), max_violations, "high"),
+        ("pass_rate", F.col("rate"), min_pass_rate, "low"),
+        ("pii_leakage", F.col("leaks"), max_pii, "high"),
+        ("violation_count", F.col("worst"), max_violations, "high"),
         ("minimum_records", F.col("total"), min_records, "low"),
     ]
     rows = [

@@ -13,6 +13,7 @@ from opsloom.functions.common import computed, strip
 from opsloom.operators import quality
 from opsloom.operators.ordering import QUARTILES, exact_quantiles
 from opsloom.operators.profile import numeric_profile, top_list_values
+from opsloom.session import checkpointed
 
 NUMERIC_COLUMNS = ["score", "answer_score", "view_count", "quality_score"]
 
@@ -366,18 +367,22 @@ def html_residue(df: DataFrame, column: str = "question_body") -> DataFrame:
 
 # --- slices and bias -----------------------------------------------------------------
 
-def explode_slices(features: DataFrame) -> DataFrame:
-    """One row per (record, slice it belongs to): type, complexity, tag_*, error_*, infra_*."""
+def slice_names() -> Column:
+    """The slices a record belongs to: type, complexity, tag_*, error_*, infra_*."""
     def prefixed(column: str, prefix: str) -> Column:
         values = F.array_distinct(F.coalesce(F.col(column), F.array().cast("array<string>")))
         return F.transform(values, lambda x: F.concat(F.lit(prefix), x))
 
-    names = F.concat(
+    return F.concat(
         F.array_compact(F.array("question_type", "complexity")),
         prefixed("tags", "tag_"), prefixed("error_signatures", "error_"),
         prefixed("infra_components", "infra_"),
     )
-    return features.withColumn("slice", F.explode(names))
+
+
+def explode_slices(features: DataFrame) -> DataFrame:
+    """One row per (record, slice it belongs to)."""
+    return features.withColumn("slice", F.explode(slice_names()))
 
 
 def _slice_measures() -> list[Column]:
@@ -397,39 +402,42 @@ def _slice_measures() -> list[Column]:
     ]
 
 
-def overall_metrics(features: DataFrame) -> DataFrame:
-    """The slice measures over all records, as one row."""
-    return features.agg(*_slice_measures())
-
-
 def slice_metrics(features: DataFrame, min_samples: int = 30,
-                  with_median: bool = True) -> DataFrame:
-    """Measures of every slice with at least ``min_samples`` records.
+                  with_median: bool = False) -> DataFrame:
+    """Measures of every slice with at least ``min_samples`` records, and of all records.
 
-    All slices come from one explode and one aggregation, whatever their number.
+    All slices come from one explode and one aggregation, whatever their number. The row of
+    all records has a null ``slice``. The table is as small as the number of slices and feeds
+    several steps, so it is written once instead of computing the features again for each.
     """
-    total = features.agg(F.count("*")).scalar()
-    members = explode_slices(features)
-    metrics = (
-        members.groupBy("slice").agg(*_slice_measures())
-        .filter(F.col("count") >= min_samples)
-        .withColumn("proportion", F.col("count") / total)
+    with_all = F.concat(slice_names(), F.array(F.lit(None).cast("string")))
+    table = checkpointed(
+        features.withColumn("slice", F.explode(with_all)).groupBy("slice").agg(
+            *_slice_measures()
+        )
     )
+    total = table.agg(F.max(F.when(F.col("slice").isNull(), F.col("count")))).scalar()
+    metrics = table.filter(
+        F.col("slice").isNull() | (F.col("count") >= min_samples)
+    ).withColumn("proportion", F.col("count") / total)
     if not with_median:
         return metrics
     medians = exact_quantiles(
-        members, ["quality_score"], {"quality_median": (0.5, "linear")}, by=["slice"]
+        explode_slices(features), ["quality_score"], {"quality_median": (0.5, "linear")}, by=["slice"]
     ).select("slice", "quality_median")
     return metrics.join(medians, "slice", "left")
 
 
-def slice_bias(metrics: DataFrame, overall: DataFrame, threshold: float = 0.25) -> DataFrame:
+def slice_bias(metrics: DataFrame, threshold: float = 0.25) -> DataFrame:
     """Compare each slice with all records: factors found and a severity.
 
     Factors: quality differs by more than ``threshold``, answer length by more than half, or
     the slice is tiny. ``factors`` is a list of (factor, difference_ratio, direction).
     """
-    whole = overall.select(F.struct("quality_mean", "answer_length_mean")).scalar()
+    whole = metrics.agg(F.max(F.when(
+        F.col("slice").isNull(), F.struct("quality_mean", "answer_length_mean")
+    ))).scalar()
+    metrics = metrics.filter(F.col("slice").isNotNull())
 
     def difference(column: str) -> Column:
         base = whole.getField(column)

@@ -14,6 +14,7 @@ from opsloom.functions import corpus
 from opsloom.operators import chats, combine, logs, qa, traces
 from opsloom.operators import corpus as corpus_ops
 from opsloom.operators.qa import message
+from opsloom.session import spread
 
 SPARK, DUCK = "spark", "duck"
 
@@ -330,6 +331,10 @@ def select(df: DataFrame, columns: list[tuple[str, str]]) -> DataFrame:
     return df.selectExpr(*[f"{expr} AS `{name}`" for name, expr in columns])
 
 
+# tables whose rows get parsed, matched or reformatted at length
+COSTLY = {"documents", "conversations", "events", "pages"}
+
+
 class Tables:
     """The bound inputs over one folder of Parquet tables."""
 
@@ -337,7 +342,8 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return spread(table) if name in COSTLY else table
 
     # logs
     def raw_logs(self) -> DataFrame:

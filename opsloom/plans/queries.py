@@ -21,7 +21,7 @@ from opsloom.operators import (
     traces, workflows,
 )
 from opsloom.plans.bindings import Tables
-from opsloom.session import scratch_path
+from opsloom.session import checkpointed, scratch_path
 from opsloom.sources import files
 
 REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {}
@@ -488,15 +488,7 @@ def d25_length_profile(t: Tables) -> DataFrame:
 
 @query
 def d26_violation_counts(t: Tables) -> DataFrame:
-    validated = corpus.record_violations(t.record_lines())
-    summary = corpus.validation_summary(validated)
-    rows = [F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value"))
-            for c in summary.columns]
-    return summary.select(F.explode(F.array(*rows)).alias("r")).select("r.*").unionByName(
-        corpus.violation_counts(validated).select(
-            F.col("violation").alias("name"), F.col("count").cast("double").alias("value")
-        )
-    )
+    return corpus.validation_report(corpus.record_violations(t.record_lines()))
 
 
 @query
@@ -993,7 +985,7 @@ def h2_hash_sample(t: Tables) -> DataFrame:
 
 @query
 def h3_oversample_slices(t: Tables) -> DataFrame:
-    features = t.features()
+    features = checkpointed(t.features())
     rare = qa.explode_slices(features).filter(F.col("slice").rlike("^(tag|error|infra)_"))
     wanted = rare.groupBy("slice").agg(F.count("*").alias("count")).select(
         "slice", F.lit("data_augmentation").alias("strategy"),
@@ -1268,14 +1260,13 @@ def k4_slice_members(t: Tables) -> DataFrame:
 
 
 def _bias(t: Tables, minimum: int = 5) -> DataFrame:
-    features = t.features()
-    metrics = qa.slice_metrics(features, minimum, with_median=False)
-    return qa.slice_bias(metrics, qa.overall_metrics(features), 0.15)
+    return qa.slice_bias(qa.slice_metrics(t.features(), minimum), 0.15)
 
 
 @query
 def k5_slice_metrics(t: Tables) -> DataFrame:
-    metrics = qa.slice_metrics(t.features(), 5)
+    features = checkpointed(t.features())
+    metrics = qa.slice_metrics(features, 5, with_median=True).filter("slice IS NOT NULL")
     return metrics.select("slice", "count", *[
         F.round(c, 4).alias(c) for c in metrics.columns if c not in ("slice", "count")
     ])

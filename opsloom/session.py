@@ -34,6 +34,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a table over the cores where its files yield fewer partitions than there are.
+
+    For costly work per row on inputs of a few, unsplittable files. Large tables already have
+    more partitions than cores and are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder, for a table written and read back."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
