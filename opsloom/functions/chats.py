@@ -6,11 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from opsloom.functions import rules
-from opsloom.functions.common import SPACE_CLASS, col, first_match, let, strip
+from opsloom.functions.common import SPACE, col, first_match, let, strip
 
-SPACE = f"[{SPACE_CLASS}]*"
 # A call block is a lazy {...} that reaches the end marker or the end of the chat.
-CALL_BLOCK = rf"(?s)<functioncall>{SPACE}(\{{.*?\}}){SPACE}(?:<\|endoftext\|>|\z)"
+CALL_BLOCK = rf"(?sU)<functioncall>{SPACE}*(\{{.*?\}}){SPACE}*(?:<\|endoftext\|>|\z)"
 QUOTED_ARGUMENTS = r"(?s)'(\{.*?\})'"
 STRICT_JSON = {
     "allowSingleQuotes": "false",
@@ -22,7 +21,8 @@ STRICT_JSON = {
 
 def _closes_cleanly(text: Column) -> Column:
     """No text follows the first JSON value (readers stop there and would not notice)."""
-    return F.json_object_keys(F.concat(F.lit('{"v":'), text, F.lit("}"))).isNotNull()
+    wrapped = F.concat(F.lit('{"v":'), text, F.lit("}"))
+    return F.from_json(wrapped, "map<string,string>", STRICT_JSON).isNotNull()
 
 
 def _single(text: Column, kind: str) -> Column:

@@ -9,11 +9,11 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Whitespace as Unicode text handling understands it, as a character class body and as the
-# characters themselves. Java's plain \s is ASCII only, so the set is spelled out.
-SPACE_CLASS = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-SPACES = f"[{SPACE_CLASS}]+"
-NON_SPACES = f"[^{SPACE_CLASS}]+"
+# Whitespace as Unicode text handling understands it: a character class (to be used under
+# the (?U) flag, plain \s is ASCII only), patterns built from it, and the characters.
+SPACE = r"[\s\x1c-\x1f]"
+SPACES = f"(?U){SPACE}+"
+NON_SPACES = r"(?U)[\S&&[^\x1c-\x1f]]+"
 SPACE_CHARS = "".join(
     map(chr, [*range(9, 14), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
               0x2028, 0x2029, 0x202F, 0x205F, 0x3000])

@@ -34,7 +34,7 @@ def query(fn: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
 
 def joined(values: Column | str) -> Column:
     values = F.col(values) if isinstance(values, str) else values
-    return F.array_join(F.transform(values, lambda x: x.cast("string")), ",", "null")
+    return F.array_join(values.cast("array<string>"), ",", "null")
 
 
 def written(t: Tables, name: str, write: Callable[[str], None]) -> str:
