@@ -82,8 +82,13 @@ def has_keyword(content: Column | str, groups: list[str] | None = None) -> Colum
 
 
 def folded(content: Column | str) -> Column:
-    """Text in one case; every text a case-insensitive pattern can match keeps matching."""
-    return F.lower(F.upper(col(content)))
+    """Upper-case text in which a word occurs wherever a case-insensitive pattern finds it.
+
+    The Kelvin sign and the dotted capital I are capitals already, so they are spelled out.
+    """
+    upper = F.upper(col(content))
+    plain_k = F.replace(upper, F.lit("\u212a"), F.lit("K"))
+    return F.replace(plain_k, F.lit("\u0130"), F.lit("I"))
 
 
 def keyword_count(content: Column | str, word: str) -> Column:
@@ -92,7 +97,7 @@ def keyword_count(content: Column | str, word: str) -> Column:
     A plain substring test spares most texts the pattern.
     """
     hits = F.regexp_count(col(content), F.lit(rf"(?iu)\Q{word}\E"))
-    return F.when(folded(content).contains(word.lower()), hits).otherwise(0)
+    return F.when(folded(content).contains(word.upper()), hits).otherwise(0)
 
 
 def pii_pattern(name: str, any_case: bool = False) -> str:
@@ -105,7 +110,7 @@ def _may_hold(content: Column, name: str) -> Column:
     if name == "ipv4":
         return content.rlike(r"\p{Nd}\.\p{Nd}")
     if name == "creds":
-        return contains_any(folded(content), ["password", "token", "api_key", "secret"])
+        return contains_any(folded(content), ["PASSWORD", "TOKEN", "API_KEY", "SECRET"])
     return content.contains({"email": "@", "api_key": "sk-"}[name])
 
 
