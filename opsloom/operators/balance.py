@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from opsloom.functions.common import col, shuffle_key, uniform
 from opsloom.functions.corpus import sampling_weight
 from opsloom.operators.ordering import with_row_index
+from opsloom.session import checkpointed
 
 
 def balance_classes(df: DataFrame, key: Column | str, label: str = "label",
@@ -24,9 +25,10 @@ def balance_classes(df: DataFrame, key: Column | str, label: str = "label",
     ``copy`` numbers the repetitions of a row from 0.
     """
     target = F.max(F.when(F.col(label).isin(list(failures)), F.col("_n")))
-    counts = df.groupBy(label).agg(F.count("*").alias("_n"))
-    wanted = counts.agg(target.alias("_t")).scalar()
-    sizes = counts.select(
+    # one row per class, needed twice: write it instead of counting the input twice
+    counts = checkpointed(df.groupBy(label).agg(F.count("*").alias("_n")))
+    wanted = F.col("_wanted")
+    sizes = counts.withColumn("_wanted", counts.agg(target.alias("_t")).scalar()).select(
         F.col(label).alias("_label"), "_n",
         F.when(wanted.isNull(), F.col("_n"))
         .when(F.col(label) == normal, F.least(F.col("_n"), wanted * normal_ratio))
@@ -115,17 +117,17 @@ def oversample_slices(df: DataFrame, suggestions: DataFrame, key: str, max_slice
 def quality_weights(df: DataFrame, score: str = "quality_score") -> DataFrame:
     """Weight 0.5 to 1.5 by the score's place between its minimum and maximum."""
     ends = df.agg(F.struct(F.min(score).alias("lo"), F.max(score).alias("hi"))).scalar()
-    low, high = ends.getField("lo"), ends.getField("hi")
+    low, high = F.col("_ends.lo"), F.col("_ends.hi")
     weight = F.when(high > low, 0.5 + (F.col(score) - low) / (high - low)).otherwise(1.0)
-    return df.withColumn("sample_weight", weight)
+    return df.withColumn("_ends", ends).withColumn("sample_weight", weight).drop("_ends")
 
 
 def keep_ratios(df: DataFrame, column: str, max_percent: float = 40.0) -> DataFrame:
     """Per class: count, share, the ratio of rows to keep and the sampling weight."""
-    counts = df.groupBy(column).agg(F.count("*").alias("count"))
+    counts = checkpointed(df.groupBy(column).agg(F.count("*").alias("count")))
     total = counts.agg(F.sum("count")).scalar()
-    percent = F.col("count") / total * 100
-    return counts.select(
+    percent = F.col("_percent")
+    return counts.withColumn("_percent", F.col("count") / total * 100).select(
         column, "count", percent.alias("pct"),
         F.when(percent > max_percent, F.lit(max_percent) / percent).otherwise(1.0)
         .alias("keep_ratio"),
