@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsloom.llm import packing, pieces, simhash, token_counts
+from opsloom.llm import (
+    line_quality, neighbours, packing, pieces, secrets, simhash, token_counts, toxicity,
+)
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -26,6 +28,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_neighbours(
+        table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0
+    )
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_toxicity(docs, toxicity_model(spark, docs, sf_dir))
+
+
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.ToxicityModel:
+    """Fitted on labelled rows that are not held out."""
+    labels = table(spark, sf_dir, "labels").where(~toxicity.held_out(F.col("doc_id")))
+    return toxicity.fit_toxicity(docs, labels)
+
+
 @query
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(
@@ -49,6 +70,25 @@ def op6_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op8_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_quality.clean_lines(table(spark, sf_dir, "documents")).drop("cleaned")
+
+
+@query
+def op9_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_secrets(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("plain", lambda s: s["kind"] == kind)).cast("long")
+    shown = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+    )
+    return found.select(
+        "doc_id", *[count(kind).alias(f"n_{kind}") for kind in secrets.KINDS],
+        F.sha2(shown("plain").cast("binary"), 256).alias("base_sha256"),
+        shown("spans").alias("spans"),
+    )
+
+
 @query
 def op10_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.piece_digests(
