@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opsloom.llm import (
-    line_quality, neighbours, packing, pieces, secrets, simhash, token_counts, toxicity,
+    line_quality, neighbours, packing, passages, pieces, secrets, simhash, token_counts, toxicity,
 )
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,8 @@ def op10_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.piece_digests(
         table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")
     )
+
+
+@query
+def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
