@@ -393,7 +393,7 @@ def repeated_spans(texts: DataFrame, length: int, gram: int, crowd: int) -> Data
 
 def remove_repeats(
     docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text",
-    crowd: int = CROWD,
+    crowd: int = CROWD, carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row per document: bytes, removed bytes, removed runs, digest and bytes of what is kept.
 
@@ -401,23 +401,26 @@ def remove_repeats(
     also starts earlier: in a document of smaller id, or earlier in the same one. Rows that repeat
     id and text are one document; rows that share an id but not a text are documents of their own,
     ordered by a hash of the text. Rows without an id come last. A null text is empty. Other
-    columns are not read. ``crowd`` is the number of contexts beyond which a gram is settled by
-    aggregates.
+    columns are read only if ``carry`` names them, and come behind the others. ``crowd`` is the
+    number of contexts beyond which a gram is settled by aggregates.
     """
     last = (1 << 63) - 1
     texts = docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(last)).alias("id"),
         F.hash(F.col(text_col)).alias("tag"),
         F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"),
+        *[F.col(name).alias(f"carried_{i}") for i, name in enumerate(carry)],
     )
     gram = min(GRAM, length)
-    found = repeated_spans(texts, length, gram, crowd)
-    joined = texts.join(found, ["id", "tag"], "left")
+    found = repeated_spans(texts.select("id", "tag", "text"), length, gram, crowd)
     kind = id_type(docs, id_col)
-    joined = joined.select(
-        F.when(F.col("id") < last, F.col("id")).cast(kind).alias("own_id"), "text", "spans"
+    extra = [f"carried_{i}" for i in range(len(carry))]
+    joined = texts.join(found, ["id", "tag"], "left").select(
+        F.when(F.col("id") < last, F.col("id")).cast(kind).alias("own_id"), "text", "spans", *extra
     )
-    names = [id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
+    names = [id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", *carry]
+    kinds = [kind, "long", "long", "long", "string", "binary",
+             *[docs.schema[name].dataType.simpleString() for name in carry]]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -425,15 +428,14 @@ def remove_repeats(
                 rows = [removed(text, spans) for text, spans in zip(
                     part.column("text").to_pylist(), part.column("spans").to_pylist()
                 )]
-                kinds = [pa.int64()] * 3 + [pa.string(), pa.binary()]
+                types = [pa.int64()] * 3 + [pa.string(), pa.binary()]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("own_id"), *[pa.array(c, k) for c, k in zip(zip(*rows), kinds)]],
+                    [part.column("own_id"), *[pa.array(c, t) for c, t in zip(zip(*rows), types)],
+                     *[part.column(name) for name in extra]],
                     names=names,
                 )
 
-    return joined.mapInArrow(
-        cut, f"`{id_col}` {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
-    )
+    return joined.mapInArrow(cut, ", ".join(f"`{n}` {k}" for n, k in zip(names, kinds)))
 
 
 def removed(text: bytes, spans: list[dict] | None) -> tuple[int, int, int, str, bytes]:

@@ -21,8 +21,10 @@ from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from opsloom.llm.common import id_and_text, id_type, slices, strings
 
@@ -255,3 +257,15 @@ def scan_secrets(
     return id_and_text(docs, id_col, text_col).mapInArrow(
         scan, f"`{id_col}` {id_type(docs, id_col)}, plain {spans}, spans {spans}, masked string"
     )
+
+
+def mask_secrets(text: Column, most: int = UNPACKED_BYTES) -> Column:
+    """Texts with every span of secrets, wrapped ones too, replaced by a mark; null stays null."""
+    @F.pandas_udf("string")
+    def mask(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series(
+                [None if t is None else masked(t, all_spans(t, most)[1]) for t in texts], dtype=object
+            )
+
+    return mask(text)
