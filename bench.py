@@ -11,6 +11,7 @@ import json
 import os
 import re
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -43,6 +44,9 @@ def main() -> None:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        # the tables are one file each: cut them by size, as a table of many files would be
+        .config("spark.sql.files.maxPartitionBytes", "2m")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-checkpoint-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -59,8 +59,7 @@ def function_calls(chat: Column | str) -> Column:
     """Array of {name, arguments, malformed}, one entry per call block.
 
     ``arguments`` is JSON text ('{}' when absent), with a quoted object or a JSON string
-    unwrapped; ``malformed`` holds the first 100 characters of a block that is not JSON and is
-    null for good calls. ``n_arguments`` is null when the arguments are not an object.
+    unwrapped; ``malformed`` holds a block that is not JSON and is null for good calls. ``n_arguments`` is null when the arguments are not an object.
     """
 
     def arguments(raw: Column) -> Column:
@@ -86,7 +85,7 @@ def function_calls(chat: Column | str) -> Column:
         bad = F.struct(
             nothing.alias("name"), nothing.alias("arguments"),
             F.lit(None).cast("int").alias("n_arguments"),
-            F.left(block, F.lit(100)).alias("malformed"),
+            block.alias("malformed"),
         )
         fields = json_object(F.regexp_replace(block, QUOTED_ARGUMENTS, "$1"))
         return let(fields, lambda f: F.when(f.isNull(), bad).otherwise(good(f)))
@@ -199,10 +198,10 @@ def user_turns(chat: Column | str) -> Column:
 
 
 def first_user_text(chat: Column | str) -> Column:
-    """Text of the first user turn, else the first 200 characters of the chat."""
+    """Text of the first user turn, else the whole chat."""
     chat = col(chat)
     turn = strip(F.regexp_extract(chat, r"(?s)USER:(.*?)(?=ASSISTANT:|\z)", 1))
-    return F.when(chat.contains("USER:"), turn).otherwise(F.left(chat, F.lit(200)))
+    return F.when(chat.contains("USER:"), turn).otherwise(chat)
 
 
 def first_assistant_text(chat: Column | str) -> Column:

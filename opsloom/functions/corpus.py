@@ -176,10 +176,10 @@ def manifest_of(wrapped: Column | str) -> Column:
 
 
 def manifest_type(content: Column | str, terraform: bool = False) -> Column:
-    """Kind of file, judged by its first 2000 characters."""
-    head = F.left(col(content), F.lit(2000))
+    """Kind of file, judged by its whole text."""
+    text = col(content)
     kinds = rules.MANIFEST_TYPES + ([rules.TERRAFORM_TYPE] if terraform else [])
-    return first_match([(head.rlike("(?U)" + p), name) for name, p in kinds], F.lit("other"))
+    return first_match([(text.rlike("(?U)" + p), name) for name, p in kinds], F.lit("other"))
 
 
 def _occurrences(text: Column, mark: str) -> Column:

@@ -181,11 +181,11 @@ PII_REPLACEMENTS = {
     "api_key": "sk-REDACTED", "creds": "$1: REDACTED",
 }
 PII_REDACTION_ORDER = ["ipv4", "api_key", "email", "creds"]
-PII_LEAK_PATTERNS = [
-    r"sk-[A-Za-z0-9]{20,}",
-    r"(?:\d{1,3}\.){3}\d{1,3}",
-    r"[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9-.]+",
-]
+PII_LEAK_PATTERNS = {
+    "api_key": r"sk-[A-Za-z0-9]{20,}",
+    "ipv4": r"(?:\d{1,3}\.){3}\d{1,3}",
+    "email": r"[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9-.]+",
+}
 PROMPT_RULES = [
     ("deploy", "Deploy the {slug} configuration"),
     ("service", "Apply the {slug} service manifest"),
@@ -210,3 +210,14 @@ MANIFEST_TYPES = [
 ]
 TERRAFORM_TYPE = ("terraform", r'resource\s+"|terraform\s*\{')
 RECORD_META_KEYS = ["hexsha", "path", "size", "licenses"]
+
+
+# fixed values: prompt and health limits of function-call chats
+SYSTEM_PROMPT = (
+    "You are an MLOps remediation engine. "
+    "Convert user requests into valid JSON workflow definitions."
+)
+CALL_THRESHOLDS = {
+    "malformed_rate": 0.05, "none_complexity_rate": 0.60, "record_count": 3000,
+    "avg_turns": 10.0, "avg_calls": 5.0, "defined_functions_coverage": 0.30,
+}

@@ -15,11 +15,16 @@ def _alert(kind: str, severity: Column, title: str, message: Column, pipeline: s
 
 
 def anomaly_alert(anomalies: DataFrame, pipeline: str, kind_column: str,
-                  many: int = 10) -> DataFrame:
-    """One alert row if there are anomalies; more than ``many`` make it an error."""
+                  many: int = 10, named: int | None = None) -> DataFrame:
+    """One alert row if there are anomalies; more than ``many`` make it an error.
+
+    All kinds are named, or the first ``named`` in order. There is one row per kind by then.
+    """
     counts = anomalies.groupBy(F.col(kind_column).alias("kind")).agg(F.count("*").alias("n"))
-    five = F.slice(F.array_sort(F.collect_set("kind")), 1, 5)
-    row = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), five.alias("kinds"))
+    kinds = F.array_sort(F.collect_list("kind"))
+    if named is not None:
+        kinds = F.slice(kinds, 1, named)
+    row = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), kinds.alias("kinds"))
     severity = F.when(F.col("n") > many, "error").otherwise("warning")
     details = F.to_json(F.struct(
         F.col("n").alias("anomaly_count"), F.array_join("kinds", ", ").alias("types")

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from opsloom.functions.common import col, shuffle_key, uniform
 from opsloom.functions.corpus import sampling_weight
-from opsloom.operators.ordering import with_row_index
-from opsloom.session import checkpointed
+from opsloom.operators.ordering import hash_buckets, ranked_by_hash
+
+NO_CLASS = "\0"      # stands for null, which is no map key
 
 
 def balance_classes(df: DataFrame, key: Column | str, label: str = "label",
@@ -20,30 +21,26 @@ def balance_classes(df: DataFrame, key: Column | str, label: str = "label",
     class is cut to ``normal_ratio`` times that size.
 
     Sizes are exact. Which rows stay (or repeat once more) is decided by the hash of ``key``
-    and the seed, so the result does not depend on partitioning. Without any failure row the
-    input is returned as it is. Labels outside the named classes are dropped otherwise.
-    ``copy`` numbers the repetitions of a row from 0.
+    and the seed, so the result does not depend on partitioning. Labels outside the named
+    classes, and all rows if there is no failure, pass once. ``copy`` numbers the repetitions of a
+    row from 0. The input is read twice, for counts and for rows; write it first if it is costly.
     """
-    target = F.max(F.when(F.col(label).isin(list(failures)), F.col("_n")))
-    # one row per class, needed twice: write it instead of counting the input twice
-    counts = checkpointed(df.groupBy(label).agg(F.count("*").alias("_n")))
-    wanted = F.col("_wanted")
-    sizes = counts.withColumn("_wanted", counts.agg(target.alias("_t")).scalar()).select(
-        F.col(label).alias("_label"), "_n",
-        F.when(wanted.isNull(), F.col("_n"))
-        .when(F.col(label) == normal, F.least(F.col("_n"), wanted * normal_ratio))
-        .when(F.col(label).isin(list(failures)), wanted)
-        .otherwise(F.lit(0)).alias("_target"),
-    )
     keyed = df.withColumn("_order", shuffle_key(col(key), seed))
-    ranked = with_row_index(keyed, ["_order"], [label], "_rank")
+    dealt, counts = hash_buckets(keyed, "_order", [label])
+    ranked = ranked_by_hash(dealt, counts, "_order")
+    failed = counts.where(F.col(label).isin(list(failures))).groupBy(label)
+    largest = failed.agg(F.sum("_size").alias("_n")).agg(F.max("_n")).scalar()
+    target = (
+        F.when(largest.isNull(), F.col("_n"))
+        .when(F.col(label) == normal, F.least(F.col("_n"), largest * normal_ratio))
+        .when(F.col(label).isin(list(failures)), largest)
+        .otherwise(F.col("_n"))
+    )
+    sized = ranked.withColumn("_target", target)
     copies = F.floor(F.col("_target") / F.col("_n")) + F.when(
         F.col("_rank") < F.col("_target") % F.col("_n"), 1
     ).otherwise(0)
-    joined = ranked.join(sizes, ranked[label].eqNullSafe(sizes["_label"]))
-    return repeat_rows(joined.withColumn("_copies", copies), "_copies").select(
-        *df.columns, "copy"
-    )
+    return repeat_rows(sized.withColumn("_copies", copies), "_copies").select(*df.columns, "copy")
 
 
 def repeat_rows(df: DataFrame, copies: str, block: int = 65536) -> DataFrame:
@@ -69,34 +66,29 @@ def train_test_split(df: DataFrame, key: str, test_ratio: float = 0.2, seed: int
     ``stratify_by`` the cut is made inside each stratum.
     """
     keyed = df.withColumn("_order", shuffle_key(F.col(key), seed))
-    ranked = with_row_index(keyed, ["_order"], stratify_by, "_rank")
+    dealt, counts = hash_buckets(keyed, "_order", stratify_by)
+    ranked = ranked_by_hash(dealt, counts, "_order")
     cut = F.floor(F.col("_n") * F.lit(1 - test_ratio))
-    if stratify_by:
-        sizes = df.groupBy(*stratify_by).agg(F.count("*").alias("_n"))
-        sizes = sizes.select(*[F.col(c).alias(f"_{c}") for c in stratify_by], "_n")
-        same = F.lit(True)
-        for c in stratify_by:
-            same = same & ranked[c].eqNullSafe(sizes[f"_{c}"])
-        ranked = ranked.join(sizes, same)
-    else:
-        ranked = ranked.withColumn("_n", df.agg(F.count("*")).scalar())
     part = F.when(F.col("_rank") < cut, "train").otherwise("test")
     return ranked.select(*df.columns, part.alias("split"))
 
 
-def oversample_slices(df: DataFrame, suggestions: DataFrame, key: str, max_slices: int = 3,
-                      small: int = 30, cap: int = 100) -> DataFrame:
+def oversample_slices(df: DataFrame, suggestions: DataFrame, key: str,
+                      max_slices: int | None = None, small: int = 30, cap: int | None = None
+                      ) -> DataFrame:
     """Repeat the rows of small, high-priority slices that need more data.
 
-    ``suggestions`` has columns slice, strategy, priority. The first ``max_slices`` slices
-    (by name) named tag_*, error_* or infra_* are looked at; one with fewer than ``small``
-    rows gains min(2n, cap) extra rows, spread evenly over its rows.
+    ``suggestions`` has columns slice, strategy, priority. Slices named tag_*, error_*
+    or infra_* are looked at (the first ``max_slices`` by name, if given); one with fewer than
+    ``small`` rows gains 2n extra rows (at most ``cap``, if given), spread evenly over its rows.
     """
     chosen = (
         suggestions.filter((F.col("strategy") == "data_augmentation")
                            & (F.col("priority") == "high"))
-        .select("slice").distinct().orderBy("slice").limit(max_slices)
+        .select("slice").distinct()
     )
+    if max_slices is not None:
+        chosen = chosen.orderBy("slice").limit(max_slices)
     names = F.array_union(
         F.array_union(
             F.transform(F.col("tags"), lambda x: F.concat(F.lit("tag_"), x)),
@@ -104,13 +96,13 @@ def oversample_slices(df: DataFrame, suggestions: DataFrame, key: str, max_slice
         ),
         F.transform(F.col("infra_components"), lambda x: F.concat(F.lit("infra_"), x)),
     )
-    members = df.withColumn("slice", F.explode(names)).join(F.broadcast(chosen), "slice")
+    members = df.withColumn("slice", F.explode(names)).join(chosen, "slice")
     sizes = members.groupBy("slice").agg(F.count("*").alias("_n")).filter(F.col("_n") < small)
     # every slice left here has fewer than `small` rows, so ranking inside it is cheap
-    extra = F.least(F.col("_n") * 2, F.lit(cap))
+    extra = F.col("_n") * 2 if cap is None else F.least(F.col("_n") * 2, F.lit(cap))
     rank = F.row_number().over(Window.partitionBy("slice").orderBy(key)) - 1
     copies = F.floor(extra / F.col("_n")) + F.when(rank < extra % F.col("_n"), 1).otherwise(0)
-    added = members.join(F.broadcast(sizes), "slice").withColumn("_copies", copies)
+    added = members.join(sizes, "slice").withColumn("_copies", copies)
     return df.unionByName(repeat_rows(added, "_copies").select(*df.columns))
 
 
@@ -124,10 +116,13 @@ def quality_weights(df: DataFrame, score: str = "quality_score") -> DataFrame:
 
 def keep_ratios(df: DataFrame, column: str, max_percent: float = 40.0) -> DataFrame:
     """Per class: count, share, the ratio of rows to keep and the sampling weight."""
-    counts = checkpointed(df.groupBy(column).agg(F.count("*").alias("count")))
-    total = counts.agg(F.sum("count")).scalar()
+    counts = df.groupBy(column).agg(F.count("*").alias("count"))
+    # one row per class by now, so the total is taken in one place
+    everything = Window.partitionBy(F.lit(0))
     percent = F.col("_percent")
-    return counts.withColumn("_percent", F.col("count") / total * 100).select(
+    return counts.withColumn(
+        "_percent", F.col("count") / F.sum("count").over(everything) * 100
+    ).select(
         column, "count", percent.alias("pct"),
         F.when(percent > max_percent, F.lit(max_percent) / percent).otherwise(1.0)
         .alias("keep_ratio"),
@@ -139,11 +134,13 @@ def cap_class_share(df: DataFrame, column: str, key: str, max_percent: float = 4
                     seed: int = 42) -> DataFrame:
     """Thin out classes above ``max_percent`` of the rows and add the sampling weight.
 
-    A row stays if its repeatable draw does not exceed its class's keep ratio.
+    A row stays if its repeatable draw does not exceed its class's keep ratio. The classes enter
+    as one literal map, so rows are not shuffled; ``column`` is meant to have few values.
     """
-    ratios = keep_ratios(df, column, max_percent).select(
-        F.col(column).alias("_class"), "keep_ratio", "sampling_weight"
-    )
-    joined = df.join(ratios, df[column].eqNullSafe(ratios["_class"]))
-    kept = joined.filter(uniform(F.col(key), seed) <= F.col("keep_ratio"))
-    return kept.select(*df.columns, "sampling_weight")
+    ratios = keep_ratios(df, column, max_percent)
+    named = F.coalesce(F.col(column).cast("string"), F.lit(NO_CLASS))
+    entry = F.struct(named, F.struct("keep_ratio", "sampling_weight"))
+    known = ratios.agg(F.map_from_entries(F.collect_list(entry))).scalar()
+    found = df.withColumn("_known", F.element_at(known, named))
+    kept = found.filter(uniform(F.col(key), seed) <= F.col("_known.keep_ratio"))
+    return kept.select(*df.columns, F.col("_known.sampling_weight").alias("sampling_weight"))

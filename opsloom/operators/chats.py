@@ -14,14 +14,6 @@ SLICE_COLUMNS = [
     "complexity_tier", "turn_bucket", "call_bucket",
     "has_error_handling", "has_parallel", "has_defined_functions",
 ]
-SYSTEM_PROMPT = (
-    "You are an MLOps remediation engine. "
-    "Convert user requests into valid JSON workflow definitions."
-)
-THRESHOLDS = {
-    "malformed_rate": 0.05, "none_complexity_rate": 0.60, "record_count": 3000,
-    "avg_turns": 10.0, "avg_calls": 5.0, "defined_functions_coverage": 0.30,
-}
 
 
 def call_features(raw: DataFrame) -> DataFrame:
@@ -59,11 +51,11 @@ def call_features(raw: DataFrame) -> DataFrame:
     )
 
 
-def chat_messages(features: DataFrame, system_prompt: str = SYSTEM_PROMPT) -> DataFrame:
+def chat_messages(features: DataFrame, system_prompt: str = rules.SYSTEM_PROMPT) -> DataFrame:
     """Feature rows -> system, user and assistant messages.
 
     Good calls become workflow steps; without calls, or with a malformed one, the assistant
-    turn carries the first 200 characters of the reply and no steps.
+    turn carries the reply and no steps.
     """
     step = lambda c: F.concat(
         F.lit('{"tool":'), chats.quote_json(c["name"]), F.lit(',"params":'), c["arguments"],
@@ -71,7 +63,7 @@ def chat_messages(features: DataFrame, system_prompt: str = SYSTEM_PROMPT) -> Da
     )
     steps = F.array_join(F.transform("calls", step), ",")
     with_steps = F.concat(F.lit('{"workflow":{"steps":['), steps, F.lit("]}}"))
-    reply = F.left(chats.first_assistant_text("chat"), F.lit(200))
+    reply = chats.first_assistant_text("chat")
     without = F.concat(
         F.lit('{"workflow":{"steps":[]},"message":'), chats.quote_json(reply), F.lit("}")
     )
@@ -144,7 +136,7 @@ def processing_summary(features: DataFrame) -> DataFrame:
 
 def threshold_checks(features: DataFrame, thresholds: dict[str, float] | None = None) -> DataFrame:
     """Six health checks from one aggregate: (check, value, threshold, is_anomaly)."""
-    limits = {**THRESHOLDS, **(thresholds or {})}
+    limits = {**rules.CALL_THRESHOLDS, **(thresholds or {})}
     n = F.count("*")
 
     def share(condition: Column) -> Column:
@@ -171,8 +163,9 @@ def threshold_checks(features: DataFrame, thresholds: dict[str, float] | None =
     return row.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
-def call_suite(features: DataFrame, min_rows: int = 3000, max_rows: int = 100000) -> DataFrame:
-    """The standard check suite of the feature table."""
+def call_suite(features: DataFrame, min_rows: int = 3000, max_rows: int | None = None
+               ) -> DataFrame:
+    """The standard check suite of the feature table; no upper bound of rows unless given."""
     return quality.run_checks(features, [
         quality.columns_present(features, rules.CALL_COLUMNS),
         quality.no_nulls(features, ["chat", "num_turns", "num_calls", "complexity_tier"]),

@@ -335,8 +335,8 @@ def record_violations(lines: DataFrame, column: str = "record") -> DataFrame:
         F.when(~F.coalesce(F.col("_yaml"), F.lit(True)), "manifest_invalid_yaml"),
     ]
     found += [
-        F.when((manifest != "") & hint & manifest.rlike("(?U)" + p), f"pii_leaked:{p[:20]}")
-        for p, hint in zip(rules.PII_LEAK_PATTERNS, hints)
+        F.when((manifest != "") & hint & manifest.rlike("(?U)" + p), f"pii_leaked:{name}")
+        for (name, p), hint in zip(rules.PII_LEAK_PATTERNS.items(), hints)
     ]
     found += [
         F.when(~F.array_contains(meta_keys, k), f"missing_meta_key:{k}")

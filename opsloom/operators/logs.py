@@ -326,14 +326,14 @@ def _event_checks(events: DataFrame) -> list:
     ]
 
 
-def quality_gate(events: DataFrame, templates: DataFrame, expected_rows: int,
+def quality_gate(events: DataFrame, templates: DataFrame, expected_rows: int | Column,
                  min_percent: float = 5.0) -> DataFrame:
     """Everything that must hold before events are used: (check, success, violations).
 
     Event checks, no empty ids or texts, a sampled share between ``min_percent`` and 100 % of
     ``expected_rows``, every event id known to the templates and no doubled template key.
     """
-    share = F.count("*") / F.lit(expected_rows) * 100
+    share = F.count("*") / F.first(F.lit(expected_rows)) * 100
     sampling = F.when((share >= min_percent) & (share <= 100), 0).otherwise(1).cast("bigint")
     ids = ["event_id", "event_template", "message", "raw_id"]
     checks = quality.run_checks(events, _event_checks(events) + [

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -55,24 +53,72 @@ def with_row_index(df: DataFrame, order_by: Sequence[str], partition_by: Sequenc
     """Add the 0-based position of each row in the global order, or within its group.
 
     ``order_by`` are ascending column names. A group of any size is counted across many
-    tasks: its positions are global positions minus the group's first one.
+    tasks: a row's place is its place in its partition plus the group's rows in earlier ones.
     """
     placed = _placed(df, [*partition_by, *order_by])
-    indexed = _with_offset(placed, F.lit(1)).withColumn(name, F.col("_offset") + F.col("_pos"))
-    indexed = indexed.drop("_part", "_pos", "_offset")
-    if partition_by:
-        firsts = indexed.groupBy(*[F.col(c).alias(f"_of_{c}") for c in partition_by]).agg(
-            F.min(name).alias("_first")
-        )
-        indexed = indexed.join(firsts, _same(partition_by)).withColumn(
-            name, F.col(name) - F.col("_first")
-        )
+    if not partition_by:
+        indexed = _with_offset(placed, F.lit(1)).withColumn(name, F.col("_offset") + F.col("_pos"))
+        return indexed.select(*df.columns, name)
+    indexed = _with_group_offset(placed, partition_by, F.lit(1)).withColumn(
+        name, F.col("_before") + F.col("_pos") - F.col("_from")
+    )
     return indexed.select(*df.columns, name)
 
 
-def _same(group: Sequence[str]) -> Column:
-    """Join condition of group columns with their renamed copies; nulls are equal."""
-    return reduce(and_, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in group])
+def _with_group_offset(placed: DataFrame, group: Sequence[str], amount: Column) -> DataFrame:
+    """Add per (partition, group): ``_before``, the group's total of ``amount`` in earlier
+    partitions, ``_all``, its total, and ``_from``, the place of its first row in the partition.
+
+    The order is by group first, so there are at most as many (partition, group) pairs as
+    partitions and groups together; a group over many partitions is joined partition by
+    partition.
+    """
+    named = F.to_json(F.struct(*group), {"ignoreNullFields": "false"})
+    keyed = placed.withColumn("_group", named)
+    totals = keyed.groupBy("_part", "_group").agg(
+        F.sum(amount).alias("_total"), F.min("_pos").alias("_from")
+    )
+    earlier = Window.partitionBy("_group").orderBy("_part").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    offsets = totals.select(
+        "_part", "_group", "_from",
+        F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_before"),
+        F.sum("_total").over(Window.partitionBy("_group")).alias("_all"),
+    )
+    return keyed.join(offsets, ["_part", "_group"])
+
+
+def hash_buckets(df: DataFrame, order: str, group: Sequence[str] = (), digits: int = 4
+                 ) -> tuple[DataFrame, DataFrame]:
+    """``df`` with its ``_group`` and the ``_bucket`` of its hash, and how many rows each has."""
+    named = F.to_json(F.struct(*group), {"ignoreNullFields": "false"}) if group else F.lit("")
+    keyed = df.withColumns({"_group": named, "_bucket": F.left(F.col(order), F.lit(digits))})
+    return keyed, keyed.groupBy(*group, "_group", "_bucket").agg(F.count("*").alias("_size"))
+
+
+def ranked_by_hash(keyed: DataFrame, counts: DataFrame, order: str) -> DataFrame:
+    """Add ``_rank``, the 0-based place of each row in its group by ``order``, and ``_n``, the
+    group's size, and ``_group``, its name; nothing is sorted as a whole.
+
+    Both frames come from ``hash_buckets``. The rows of a group are dealt by the first digits of
+    their hash, so also one class of all rows lies in very many buckets; the counts say how many
+    rows lie before each. Rows of one hash are told apart by their content.
+    """
+    bucket = ["_group", "_bucket"]
+    earlier = Window.partitionBy("_group").orderBy("_bucket").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    places = counts.select(
+        *bucket, F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"),
+        F.sum("_size").over(Window.partitionBy("_group")).alias("_n"),
+    )
+    tie = F.xxhash64(*keyed.columns)
+    within = F.row_number().over(Window.partitionBy(*bucket).orderBy(order, tie)) - 1
+    ranked = keyed.withColumn("_in", within).join(places, bucket)
+    return ranked.withColumn("_rank", F.col("_before") + F.col("_in")).drop(
+        "_bucket", "_before", "_in"
+    )
 
 
 QUARTILES = {"q25": (0.25, "nearest"), "median": (0.5, "linear"), "q75": (0.75, "nearest")}
@@ -99,19 +145,13 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str],
         .groupBy(*by, "column", "value").agg(F.count("*").alias("_w"))
     )
     group = [*by, "column"]
-    placed = _with_offset(_placed(counted, [*group, "value"]), F.col("_w"))
-    within = Window.partitionBy("_part").orderBy("_pos").rowsBetween(
+    placed = _with_group_offset(_placed(counted, [*group, "value"]), group, F.col("_w"))
+    within = Window.partitionBy("_part", "_group").orderBy("_pos").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    ranked = placed.withColumn("_end", F.col("_offset") + F.sum("_w").over(within)).withColumn(
-        "_start", F.col("_end") - F.col("_w")
-    )
-    bounds = ranked.groupBy(*[F.col(g).alias(f"_of_{g}") for g in group]).agg(
-        F.min("_start").alias("_first"), F.sum("_w").alias("n")
-    )
-    rows = ranked.join(bounds, _same(group)).select(
-        *group, "value", "n", (F.col("_start") - F.col("_first")).alias("start"),
-        (F.col("_end") - F.col("_first")).alias("end"),
+    end = F.col("_before") + F.sum("_w").over(within)
+    rows = placed.withColumn("end", end).select(
+        *group, "value", F.col("_all").alias("n"), (F.col("end") - F.col("_w")).alias("start"), "end"
     )
     picks = [F.max("n").alias("n")]
     for name, (p, method) in quantiles.items():

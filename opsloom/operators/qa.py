@@ -314,7 +314,7 @@ def tag_distribution(df: DataFrame, n: int = 20) -> DataFrame:
     return top_list_values(df, "tags", n)
 
 
-def schema_suite(df: DataFrame, min_rows: int = 100, max_rows: int = 1000000) -> DataFrame:
+def schema_suite(df: DataFrame, min_rows: int = 100, max_rows: int | None = None) -> DataFrame:
     """The standard check suite of a processed pair table."""
     return quality.run_checks(df, [
         quality.columns_present(df, rules.QA_REQUIRED_COLUMNS),

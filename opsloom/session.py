@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,9 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 def checkpoint_dir(spark: SparkSession) -> str:
     """The folder for reliable checkpoints, as the cluster names it.
 
-    ``spark.checkpoint.dir`` is read from the session. A folder is made up only for a
-    local master, where driver and executors share one disk; on a cluster an unset value
-    is an error, because a machine-local folder would be lost with its executor.
+    ``spark.checkpoint.dir`` is read from the session. An unset value is an error, because a
+    machine-local folder would be lost with its executor.
     """
     context = spark.sparkContext
     current = context.getCheckpointDir()
@@ -21,9 +19,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        configured = tempfile.mkdtemp(prefix="opsloom-checkpoint-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     context.setCheckpointDir(configured)
     return context.getCheckpointDir()
 
@@ -34,16 +30,6 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a table over the cores where its files yield fewer partitions than there are.
-
-    For costly work per row on inputs of a few, unsplittable files. Large tables already have
-    more partitions than cores and are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder, for a table written and read back."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

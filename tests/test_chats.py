@@ -138,7 +138,7 @@ def test_chat_messages(spark):
     assert rows[0]["messages"][1]["content"] == "scale it"
     assert json.loads(rows[1]["messages"][2]["content"]) == {
         "workflow": {"steps": []}, "message": '"quoted"\nreply'}
-    assert len(rows[2]["messages"][1]["content"]) == 200
+    assert rows[2]["messages"][1]["content"] == "no turns " + "x" * 300
     assert json.loads(rows[2]["messages"][2]["content"])["message"] == ""
     assert json.loads(rows[3]["messages"][2]["content"])["workflow"]["steps"] == []
 
@@ -205,3 +205,14 @@ def test_prompt_queue(spark):
     assert sorted(r["id"] for r in workflows.unprocessed(prompts, done).collect()) == [2, 3, 5]
     made = spark.createDataFrame([(2, "{}"), (3, None)], "id long, workflow_json string")
     assert [r["id"] for r in workflows.pair_workflows(prompts, made).collect()] == [2]
+
+
+def test_long_replies_and_blocks_stay_whole(spark):
+    reply, block = "word " * 500 + "end", '{"name": ' + "x" * 400
+    rows = chats.call_features(raw(
+        spark, (None, f"USER: go ASSISTANT: {reply}"),
+        (None, f"USER: go ASSISTANT: <functioncall> {block}}} <|endoftext|>")))
+    messages = chats.chat_messages(rows).collect()
+    assert json.loads(messages[0]["messages"][2]["content"])["message"] == reply
+    [bad] = [c for r in rows.collect() for c in r["calls"]]
+    assert bad["malformed"] == block + "}"

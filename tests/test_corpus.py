@@ -139,7 +139,7 @@ def test_prompts(one, path, prompt):
     ("kind: InferenceService", "kserve", "kserve"), ("seldon", "seldon", "seldon"),
     ("kind:   Job", "k8s_workload", "k8s_workload"), ("kind: Secret", "k8s_config", "k8s_config"),
     ("apiVersion: x", "k8s_other", "k8s_other"), ('resource "a"', "other", "terraform"),
-    ("x" * 2000 + "apiVersion", "other", "other"), ("terraform {", "other", "terraform"),
+    ("x" * 2000 + "apiVersion", "k8s_other", "k8s_other"), ("terraform {", "other", "terraform"),
 ])
 def test_manifest_type(one, text, kind, wide):
     assert one(columns.manifest_type(F.col("c")), c=text) == kind
@@ -185,7 +185,7 @@ def test_record_violations(spark):
         (line(messages=reply(tool="x")), ["wrong_tool_name"]),
         (line(messages=reply(manifest="")), ["empty_manifest_content"]),
         (line(messages=reply(manifest="a: [")), ["manifest_invalid_yaml"]),
-        (line(messages=reply(manifest="ip: 999.1.1.1")), [r"pii_leaked:(?:\d{1,3}\.){3}\d{1"]),
+        (line(messages=reply(manifest="ip: 999.1.1.1")), ["pii_leaked:ipv4"]),
         (line(messages=[{"role": "user", "content": " "}, reply()[1]]), ["empty_prompt"]),
         (line(meta={"hexsha": "h", "size": 1}), ["missing_meta_key:path", "missing_meta_key:licenses"]),
     ]
@@ -216,3 +216,16 @@ def test_rejected_files_never_reach_the_yaml_check(spark):
     plan = corpus.with_filter_reason(frame(spark, row()))._jdf.queryExecution().optimizedPlan()
     text = plan.toString()
     assert text.count("ArrowEvalPython") == 1 and "isnull(_early" in text
+
+
+def test_kind_is_found_behind_a_long_header(spark):
+    from pyspark.sql import functions as F
+
+    from opsloom.functions import corpus as columns
+
+    header = "# licence text\n" * 300
+    row = spark.range(1).select(
+        columns.manifest_type(F.lit(header + "apiVersion: v1\nkind: Deployment\n")).alias("kind"),
+        columns.manifest_type(F.lit("apiVersion: v1\nkind: Deployment\n")).alias("plain"),
+    ).collect()[0]
+    assert row["kind"] == row["plain"] != "other"

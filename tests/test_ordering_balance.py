@@ -176,3 +176,42 @@ def test_weights(spark):
         0.5, 1.0, 1.5]
     same = spark.createDataFrame([(2.0,), (2.0,)], "quality_score double")
     assert {r["sample_weight"] for r in balance.quality_weights(same).collect()} == {1.0}
+
+
+def plan_of(frame):
+    frame.sparkSession.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return frame._jdf.queryExecution().executedPlan().toString()
+    finally:
+        frame.sparkSession.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_balancing_neither_sorts_the_table_nor_deals_rows_by_class(spark):
+    rows = spark.range(6000).select(
+        "id", F.when(F.col("id") % 100 == 0, F.col("id") % 3).otherwise(0).alias("label")
+    )
+    plan = plan_of(balance.balance_classes(rows, "id"))
+    assert "rangepartitioning" not in plan
+    assert "SortMergeJoin [label" not in plan and "BroadcastHashJoin [label" not in plan
+    windows = [line for line in plan.splitlines() if "Window [" in line and "row_number" in line]
+    assert windows and all("_bucket" in line for line in windows)
+    sizes = dict(balance.balance_classes(rows, "id").groupBy("label").count().collect())
+    had = dict(rows.groupBy("label").count().collect())
+    largest = max(n for label, n in had.items() if label)
+    assert sizes == {label: min(n, 3 * largest) if label == 0 else largest for label, n in had.items()}
+
+
+def test_unknown_labels_pass_once(spark):
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate([0, 0, 1, 1, 2, 9, None])], "k int, label int")
+    out = balance.balance_classes(rows, "k")
+    assert sorted(r["k"] for r in out.where("label = 9 or label is null").collect()) == [5, 6]
+
+
+def test_stratified_split_is_exact_in_every_stratum(spark):
+    rows = spark.range(1000).select(
+        "id", F.when(F.col("id") < 990, "most").when(F.col("id") < 997, "few").alias("kind")
+    )
+    out = balance.train_test_split(rows, "id", 0.2, stratify_by=["kind"])
+    sizes = {(r["kind"], r["split"]): r["count"] for r in out.groupBy("kind", "split").count().collect()}
+    assert sizes == {("most", "train"): 792, ("most", "test"): 198, ("few", "train"): 5, ("few", "test"): 2,
+                     (None, "train"): 2, (None, "test"): 1}

@@ -142,7 +142,9 @@ def test_alerts(spark):
     many = spark.createDataFrame([(f"k{i}",) for i in range(11)], "k string")
     assert alerts.anomaly_alert(few, "p", "k").collect()[0]["severity"] == "warning"
     row = alerts.anomaly_alert(many, "p", "k").collect()[0]
-    assert row["severity"] == "error" and json.loads(row["details"])["types"].count(",") == 4
+    assert row["severity"] == "error" and json.loads(row["details"])["types"].count(",") == 10
+    row = alerts.anomaly_alert(many, "p", "k", named=5).collect()[0]
+    assert json.loads(row["details"])["types"].count(",") == 4
     assert alerts.anomaly_alert(few.limit(0), "p", "k").count() == 0
     bias = spark.createDataFrame([(True, "high"), (True, "low"), (False, "none")],
                                  "is_biased boolean, severity string")
