@@ -145,7 +145,7 @@ def encoded(
 
 def pack_documents(
     docs: DataFrame, vocabulary: str, window: int = 4096, end_id: int = 2, id_col: str = "doc_id",
-    text_col: str = "text", remembered: int = 1_000_000,
+    text_col: str = "text", remembered: int = 600_000,
 ) -> DataFrame:
     """One row per piece: its document, place in the document, sequence, offset there and ids.
 

@@ -202,7 +202,7 @@ def loaded(content: bytes, remembered: int) -> PieceModel:
 
 def encode_pieces(
     docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text",
-    remembered: int = 1_000_000,
+    remembered: int = 600_000,
 ) -> DataFrame:
     """One row per document: its ids under a sentencepiece byte-pair model and their decoded text.
 
@@ -232,7 +232,7 @@ def encode_pieces(
 
 def piece_digests(
     docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text",
-    remembered: int = 1_000_000,
+    remembered: int = 600_000,
 ) -> DataFrame:
     """As ``encode_pieces``, with digests in place of ids and decoded text.
 
