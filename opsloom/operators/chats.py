@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opsloom.functions import chats, rules
@@ -90,8 +90,12 @@ def add_slice_features(features: DataFrame) -> DataFrame:
 
 def slice_summary(features: DataFrame, columns: list[str] = SLICE_COLUMNS,
                   threshold: float = 0.05) -> DataFrame:
-    """Counts and averages of every value of every slice column, from one aggregation."""
-    total = features.agg(F.count("*")).scalar()
+    """Counts and averages of every value of every slice column, from one aggregation.
+
+    The rows are those of any one slice column's values, so the total needs no second pass.
+    """
+    first = F.when(F.col("slice_column") == columns[0], F.col("count"))
+    total = F.sum(first).over(Window.partitionBy(F.lit(0)))     # of one row per slice value
     pairs = F.array(*[
         F.struct(F.lit(c).alias("slice_column"), F.col(c).cast("string").alias("slice_value"))
         for c in columns
@@ -110,10 +114,10 @@ def slice_summary(features: DataFrame, columns: list[str] = SLICE_COLUMNS,
             F.avg(F.col("has_error_handling").cast("double")).alias("error_handling_pct"),
         )
     )
-    share = F.col("count") / total
-    return grouped.withColumn("is_underrepresented", share < threshold).withColumn(
-        "proportion", F.round(share, 4)
-    )
+    share = F.col("_share")
+    return grouped.withColumn("_share", F.col("count") / total).withColumns({
+        "is_underrepresented": share < threshold, "proportion": F.round(share, 4)
+    }).drop("_share")
 
 
 def representation_findings(summary: DataFrame, high_below: float = 0.01) -> DataFrame:

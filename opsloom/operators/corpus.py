@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opsloom.functions import chats, corpus, rules
@@ -186,58 +186,58 @@ def license_counts(files: DataFrame, top: int = 15,
 
 def corpus_report(files: DataFrame) -> DataFrame:
     """Tidy (metric, name, count, pct): file kinds, escape difficulty, sizes, personal data,
-    missing fields. The three distributions share one aggregation."""
+    missing fields.
+
+    One pass: files are counted per combination of the three classes, some dozens of rows, and
+    all figures are sums over those.
+    """
     content = F.coalesce(F.col("content"), F.lit(""))
-    total = files.agg(F.count("*")).scalar()
-    kinds = F.array(
-        F.struct(F.lit("iac_type").alias("metric"),
-                 corpus.manifest_type(content, terraform=True).alias("name")),
-        F.struct(F.lit("escape_difficulty").alias("metric"),
-                 corpus.escape_difficulty(content).alias("name")),
-        F.struct(F.lit("size").alias("metric"), corpus.size_bucket("size").alias("name")),
-    )
-    spread = files.select(F.explode(kinds).alias("k")).groupBy("k.metric", "k.name").agg(
-        F.count("*").alias("count")
-    )
     present = [c for c in rules.CORPUS_COLUMNS if c in files.columns]
-    row = files.agg(
-        F.count_if(corpus.has_pii(content)).alias("_pii"),
-        *[F.count_if(F.col(c).isNull()).alias(c) for c in present],
+    classes = ["iac_type", "escape_difficulty", "size"]
+    cells = files.groupBy(
+        corpus.manifest_type(content, terraform=True).alias("iac_type"),
+        corpus.escape_difficulty(content).alias("escape_difficulty"),
+        corpus.size_bucket("size").alias("size"),
+    ).agg(
+        F.count("*").alias("_n"), F.count_if(corpus.has_pii(content)).alias("_pii"),
+        *[F.count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in present],
     )
-    single = [F.struct(F.lit("pii_files").alias("metric"), F.lit("any").alias("name"),
-                       F.col("_pii").alias("count"))]
-    single += [
-        F.struct(F.lit("field_null").alias("metric"), F.lit(c).alias("name"),
-                 F.col(c).alias("count"))
-        for c in present
-    ]
-    others = row.select(F.explode(F.array(*single)).alias("r")).select("r.*")
-    return spread.unionByName(others).withColumn(
-        "pct", F.round(F.col("count") / total * 100, 2)
+    figures = [(c, F.col(c), F.col("_n")) for c in classes]
+    figures.append(("pii_files", F.lit("any"), F.col("_pii")))
+    figures += [("field_null", F.lit(c), F.col(f"_null_{c}")) for c in present]
+    size = F.when(F.col("metric") == "size", F.col("count"))
+    total = F.sum(size).over(Window.partitionBy(F.lit(0)))      # of one row per figure
+    return _summed(cells, figures).withColumn("pct", F.round(F.col("count") / total * 100, 2))
+
+
+def _summed(cells: DataFrame, figures: list[tuple[str | Column, Column, Column]]) -> DataFrame:
+    """(metric, name, count): sums of the figures (metric, name, amount) over a small table."""
+    rows = F.array(*[
+        F.struct((metric if isinstance(metric, Column) else F.lit(metric)).alias("metric"), name.alias("name"), amount.alias("count"))
+        for metric, name, amount in figures
+    ])
+    return cells.select(F.explode(rows).alias("r")).groupBy("r.metric", "r.name").agg(
+        F.sum("r.count").alias("count")
     )
 
 
 def diagnostics(files: DataFrame, settings: FilterSettings | None = None) -> DataFrame:
-    """Tidy (metric, name, count): files per personal-data pattern and per filter outcome."""
+    """Tidy (metric, name, count): files per personal-data pattern and per filter outcome.
+
+    One pass: everything is counted per filter outcome and summed from those few rows.
+    """
     content = F.coalesce(F.col("content"), F.lit(""))
-    row = files.agg(*[
-        F.count_if(corpus.pii_found(content, name)).alias(name) for name in rules.PII_PATTERNS
-    ])
-    hits = row.select(F.explode(F.array(*[
-        F.struct(F.lit("pii").alias("metric"), F.lit(n).alias("name"), F.col(n).alias("count"))
-        for n in rules.PII_PATTERNS
-    ])).alias("r")).select("r.*")
-    curated = curate(files, settings)
-    outcome = curated.groupBy("reason").agg(F.count("*").alias("count"))
-    drops = outcome.select(
-        F.when(F.col("reason") == "ok", "filter_pass").otherwise("filter_drop").alias("metric"),
-        F.col("reason").alias("name"), "count",
-    )
     wrapped = corpus.manifest_of(F.col("messages")[1]["content"]).isNotNull()
-    wraps = curated.agg(F.count_if(wrapped).alias("count")).select(
-        F.lit("wrap_ok").alias("metric"), F.lit("any").alias("name"), "count"
+    cells = curate(files, settings, keep=("content",)).groupBy("reason").agg(
+        F.count("*").alias("_n"), F.count_if(wrapped).alias("_wrapped"),
+        *[F.count_if(corpus.pii_found(content, n)).alias(f"_pii_{n}") for n in rules.PII_PATTERNS],
     )
-    return hits.unionByName(drops).unionByName(wraps)
+    outcome = F.when(F.col("reason") == "ok", "filter_pass").otherwise("filter_drop")
+    return _summed(cells, [
+        *[("pii", F.lit(n), F.col(f"_pii_{n}")) for n in rules.PII_PATTERNS],
+        (outcome, F.col("reason"), F.col("_n")),
+        ("wrap_ok", F.lit("any"), F.col("_wrapped")),
+    ])
 
 
 # --- records: slices, mitigation, validation ------------------------------------------------
@@ -257,8 +257,12 @@ def record_fields(records: DataFrame) -> DataFrame:
 
 
 def slice_shares(fields: DataFrame, min_pct: float = 5.0, max_pct: float = 40.0) -> DataFrame:
-    """Count, share and mean manifest length per value of the four slice dimensions."""
-    total = fields.agg(F.count("*")).scalar()
+    """Count, share and mean manifest length per value of the four slice dimensions.
+
+    The total is that of the first dimension, so the records are read once.
+    """
+    first = F.when(F.col("dimension") == SLICE_DIMENSIONS[0], F.col("count"))
+    total = F.sum(first).over(Window.partitionBy(F.lit(0)))     # of one row per slice value
     pairs = F.array(*[
         F.struct(F.lit(d).alias("dimension"), F.col(d).alias("value")) for d in SLICE_DIMENSIONS
     ])

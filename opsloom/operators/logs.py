@@ -12,6 +12,8 @@ from opsloom.functions import logs, rules, traces
 from opsloom.functions.common import col, computed, strip
 from opsloom.operators import quality
 
+SALTS = 32       # parts that a window's rows are dealt to
+
 
 def _packed(**fields: str) -> Column:
     """Named columns as one JSON text; nulls are kept."""
@@ -137,8 +139,8 @@ def event_counts(events: DataFrame) -> DataFrame:
     )
 
 
-def _rate(errors: str, total: str) -> Column:
-    return F.round(F.col(errors) / F.col(total), 4)
+def _rate(errors: Column | str, total: Column | str) -> Column:
+    return F.round(col(errors) / col(total), 4)
 
 
 def error_rate(events: DataFrame) -> DataFrame:
@@ -231,28 +233,31 @@ def bias_flags(events: DataFrame, multiplier: float = 2.0, dominance: float = 0.
 
     One row per flag: (slice, metric, value, threshold).
     """
-    profile = system_profile(events)
-    overall = events.agg(
-        (F.count_if(F.col("severity") == "ERROR") / F.count("*")).alias("rate")
-    ).scalar()
-    threshold = overall * multiplier
-    by_rate = profile.withColumn("limit", threshold).filter(
-        (F.col("error_rate") > F.col("limit")) & (F.col("limit") > 0)
-    ).select(
-        F.col("system").alias("slice"), F.lit("error_rate").alias("metric"),
-        F.col("error_rate").alias("value"), F.round("limit", 4).alias("threshold"),
+    cells = events.groupBy("event_type", "system").agg(
+        F.count("*").alias("n"), F.count_if(F.col("severity") == "ERROR").alias("errors")
+    )
+    # one row per (event type, system) by now: all totals are windows over that small table
+    everything, system = Window.partitionBy(F.lit(0)), Window.partitionBy("system")
+    kind = Window.partitionBy("event_type")
+    known = cells.withColumns({
+        "error_rate": _rate(F.sum("errors").over(system), F.sum("n").over(system)),
+        "limit": F.sum("errors").over(everything) / F.sum("n").over(everything) * multiplier,
+        "total": F.sum("n").over(kind),
+        "leads": F.row_number().over(system.orderBy("event_type")) == 1,
+    })
+    share = F.col("n") / F.col("total")
+    by_rate = F.when(
+        F.col("leads") & (F.col("error_rate") > F.col("limit")) & (F.col("limit") > 0),
+        F.struct(F.col("system").alias("slice"), F.lit("error_rate").alias("metric"),
+                 F.col("error_rate").alias("value"), F.round("limit", 4).alias("threshold")),
     )
-    counts = event_type_by_system(events)
-    totals = counts.groupBy("event_type").agg(F.sum("count").alias("total"))
-    share = F.col("count") / F.col("total")
-    by_type = counts.join(totals, "event_type").filter(
-        (F.col("total") >= min_events) & (share > dominance)
-    ).select(
-        F.concat(F.col("system"), F.lit("/"), F.col("event_type")).alias("slice"),
-        F.lit("event_type_dominance").alias("metric"),
-        F.round(share, 4).alias("value"), F.lit(dominance).alias("threshold"),
+    by_type = F.when(
+        (F.col("total") >= min_events) & (share > dominance),
+        F.struct(F.concat(F.col("system"), F.lit("/"), F.col("event_type")).alias("slice"),
+                 F.lit("event_type_dominance").alias("metric"), F.round(share, 4).alias("value"),
+                 F.lit(float(dominance)).alias("threshold")),
     )
-    return by_rate.unionByName(by_type)
+    return known.select(F.inline(F.array_compact(F.array(by_rate, by_type))))
 
 
 def with_sequence_fields(events: DataFrame) -> DataFrame:
@@ -268,22 +273,26 @@ def with_sequence_fields(events: DataFrame) -> DataFrame:
 def event_sequences(events: DataFrame, max_length: int = rules.MAX_SEQUENCE_LENGTH) -> DataFrame:
     """Event numbers of each (system, minute) in time order, with the highest label.
 
-    Only the last ``max_length`` events of a window reach the output, so they are selected by
-    a ranked limit that Spark already applies before the shuffle: a window of any size (all
-    rows without a readable time share one) is never collected whole. The label still comes
-    from every row of the window.
+    Only the last ``max_length`` events of a window reach the output. They are selected by two
+    ranked limits, first among the rows of a window that share a hash of the row (``SALTS``
+    parts), then among what is left, so the one window that all rows without a readable time
+    share meets in many tasks, and at most SALTS * max_length of its rows in one. The label
+    comes from every row of the window, by an aggregate that combines on the map side.
     """
     fields = with_sequence_fields(events)
     group = ["system", "window"]
     labels = fields.groupBy(
         F.col("system").alias("_system"), F.col("window").alias("_window")
     ).agg(F.max("event_label").alias("label"))
-    latest = Window.partitionBy(*group).orderBy(
-        F.desc_nulls_last("timestamp_dt"), F.desc("raw_id"), F.desc("event_int")
+    order = [F.desc_nulls_last("timestamp_dt"), F.desc("raw_id"), F.desc("event_int")]
+    salt = F.pmod(F.xxhash64("raw_id", "event_int", "timestamp_dt"), F.lit(SALTS))
+    parts = Window.partitionBy(*group, "_salt").orderBy(*order)
+    last = (
+        fields.select(*group, "timestamp_dt", "raw_id", "event_int", salt.alias("_salt"))
+        .withColumn("_place", F.row_number().over(parts)).filter(F.col("_place") <= max_length)
+        .withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
+        .filter(F.col("rank") <= max_length)
     )
-    last = fields.select(*group, "timestamp_dt", "raw_id", "event_int").withColumn(
-        "rank", F.row_number().over(latest)
-    ).filter(F.col("rank") <= max_length)
     ordered = F.sort_array(F.collect_list(F.struct(-F.col("rank"), F.col("event_int").alias("v"))))
     tokens = last.groupBy(*group).agg(F.transform(ordered, lambda x: x["v"]).alias("tokens"))
     same = F.col("system").eqNullSafe(F.col("_system")) & F.col("window").eqNullSafe(

@@ -56,12 +56,20 @@ def distinct_counts(df: DataFrame, columns: Sequence[str], approximate: bool = F
     names = _names(columns, ["n_unique"])
     count = F.approx_count_distinct if approximate else F.count_distinct
     aggs = [
-        (count(F.col(c)) + F.max(F.col(c).isNull().cast("int"))).alias(names[c]["n_unique"])
+        (count(_distinct_by(df, c)) + F.max(F.col(c).isNull().cast("int")))
+        .alias(names[c]["n_unique"])
         for c in columns
     ]
     return _unpivot(df.agg(*aggs), names)
 
 
+def _distinct_by(df: DataFrame, column: str) -> Column:
+    """The value, or the 128-bit digest of a text: what a distinct count has to shuffle."""
+    if isinstance(df.schema[column].dataType, T.StringType):
+        return F.unhex(F.md5(F.col(column).cast("binary")))
+    return F.col(column)
+
+
 def dataset_statistics(df: DataFrame, distributions: Sequence[str],
                        distinct: Sequence[str]) -> DataFrame:
     """Tidy report (metric, name, value): size, distributions, null rates, distinct counts."""
@@ -109,7 +117,7 @@ def text_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     aggs = []
     for c in columns:
         size = F.octet_length(c)
-        exprs = [F.count_distinct(F.col(c)), F.min(size), F.max(size),
+        exprs = [F.count_distinct(_distinct_by(df, c)), F.min(size), F.max(size),
                  F.round(F.avg(size), 2), F.sum(size)]
         aggs += [e.alias(names[c][m]) for m, e in zip(measures, exprs)]
     return _unpivot(df.agg(*aggs), names)

@@ -229,3 +229,18 @@ def test_kind_is_found_behind_a_long_header(spark):
         columns.manifest_type(F.lit("apiVersion: v1\nkind: Deployment\n")).alias("plain"),
     ).collect()[0]
     assert row["kind"] == row["plain"] != "other"
+
+
+def python_nodes(frame):
+    return frame._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython")
+
+
+def test_reports_evaluate_the_funnel_once(spark):
+    from opsloom.operators import corpus as operators
+    from opsloom.plans.bindings import Tables
+
+    tables = Tables(spark, "/root/testdata/sf0.001")
+    once = python_nodes(operators.curate(tables.files()))
+    assert once and python_nodes(operators.diagnostics(tables.files())) == once
+    fields = operators.record_fields(tables.records())
+    assert python_nodes(operators.slice_shares(fields)) == python_nodes(fields)

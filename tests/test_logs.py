@@ -171,3 +171,15 @@ def test_quality_gate(labelled, spark):
               for r in logs.quality_gate(labelled, templates, expected_rows=100).collect()}
     assert result["sampling_sanity"] and result["columns_present"] and result["event_id_pattern"]
     assert not result["template_coverage"] and not result["template_no_duplicates"]
+
+
+def test_windows_without_time_are_limited_in_parts(spark):
+    """All rows share the null window; the last ones come out, however many parts there are."""
+    rows = spark.range(4000).selectExpr(
+        "'linux' AS system", "CAST(id AS STRING) AS raw_id", "'no time' AS timestamp", "'INFO' AS severity",
+        "concat('E', id) AS event_id", "'t' AS event_template", "'m' AS message", "'normal' AS event_type",
+    ).repartition(16)
+    for length in (512, 2000):
+        [row] = logs.event_sequences(rows, length).collect()
+        last = sorted(map(str, range(4000)), reverse=True)[:length]
+        assert [t for t in row["sequence_ids"] if t] == [int(x) for x in last if int(x)][::-1]
