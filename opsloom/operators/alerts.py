@@ -35,6 +35,29 @@ def anomaly_alert(anomalies: DataFrame, pipeline: str, kind_column: str,
     )
 
 
+def validation_alert(checks: DataFrame, pipeline: str) -> DataFrame:
+    """One error row if checks failed, with their names; ``checks`` has check and success."""
+    failed = checks.filter(~F.col("success")).agg(
+        F.count("*").alias("n"), F.array_sort(F.collect_list("check")).alias("names")
+    )
+    details = F.to_json(F.struct(
+        F.array_join("names", ", ").alias("failed_checks"), F.col("n").alias("total_failures")
+    ))
+    text = F.format_string(f"Data validation failed with %d check(s) in {pipeline}", F.col("n"))
+    return failed.filter(F.col("n") > 0).select(*_alert(
+        "validation_failure", F.lit("error"), "Data validation failed", text, pipeline, details
+    ))
+
+
+def quality_alert(rates: DataFrame, pipeline: str, max_percent: float) -> DataFrame:
+    """One warning per column whose null share exceeds the limit; ``rates`` has column, null_pct."""
+    text = F.format_string("%s is missing in %.2f %% of the rows", F.col("column"), F.col("null_pct"))
+    details = F.to_json(F.struct("column", "null_pct"))
+    return rates.filter(F.col("null_pct") > max_percent).select(*_alert(
+        "data_quality_issue", F.lit("warning"), "Data quality issue", text, pipeline, details
+    ))
+
+
 def bias_alert(bias: DataFrame, pipeline: str) -> DataFrame:
     """One alert row if slices are biased; any of high severity makes it an error.
 

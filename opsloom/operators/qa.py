@@ -222,18 +222,32 @@ def _status(fail: Column, warn: Column | None = None) -> Column:
     return (out.when(warn, "warn") if warn is not None else out).otherwise("pass")
 
 
-def check_schema(df: DataFrame) -> DataFrame:
-    """Required columns fail, unexpected ones warn. Reads metadata only."""
-    missing = [c for c in rules.QA_REQUIRED_COLUMNS if c not in df.columns]
+def check_schema(fields: DataFrame) -> DataFrame:
+    """Required fields that no record has fail, unexpected ones warn: one row per kind of fault.
+
+    ``fields`` has one row per field that the records hold, with the column ``field``, as schema
+    inference over their text gives it. Without unexpected fields there is no row for them.
+    """
     known = rules.QA_KNOWN_COLUMNS + rules.QA_SIDE_COLUMNS
-    extra = [c for c in df.columns if c not in known]
-    rows = [("schema_required_columns", "fail" if missing else "pass",
-             "error" if missing else "none", float(len(missing)))]
-    if extra:
-        rows.append(("schema_extra_columns", "warn", "warning", float(len(extra))))
-    return df.sparkSession.createDataFrame(
-        rows, "check string, status string, severity string, value double"
+    required = rules.QA_REQUIRED_COLUMNS
+    row = fields.agg(
+        (F.lit(len(required)) - F.count_if(F.col("field").isin(required))).alias("missing"),
+        F.count_if(~F.col("field").isin(known)).alias("extra"),
     )
+    lacking, extra = F.col("missing") > 0, F.col("extra") > 0
+    checks = F.array_compact(F.array(
+        F.struct(
+            F.lit("schema_required_columns").alias("check"),
+            F.when(lacking, "fail").otherwise("pass").alias("status"),
+            F.when(lacking, "error").otherwise("none").alias("severity"),
+            F.col("missing").cast("double").alias("value"),
+        ),
+        F.when(extra, F.struct(
+            F.lit("schema_extra_columns").alias("check"), F.lit("warn").alias("status"),
+            F.lit("warning").alias("severity"), F.col("extra").cast("double").alias("value"),
+        )),
+    ))
+    return row.select(F.inline(checks))
 
 
 def check_data_quality(df: DataFrame, min_rows: int = 100, max_missing: float = 0.1,

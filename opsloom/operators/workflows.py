@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opsloom.functions import chats
@@ -142,6 +142,43 @@ def chat_statistics(records: DataFrame) -> DataFrame:
     )
 
 
+JSON_TYPES = ["array", "boolean", "null", "number", "object", "string"]
+
+
+def json_fields(lines: DataFrame, column: str) -> DataFrame:
+    """Schema and missing fields of JSON objects, from their text: one row per top-level field.
+
+    ``types`` are the JSON types met, in order and joined by ``|``; ``present`` counts the records
+    that have the field, ``nulls`` those where it is null, ``missing`` the valid records without
+    it. Lines that are no JSON object count nowhere. One pass: every record also leaves one mark of
+    its own, whose count is the number of records.
+    """
+    raw = F.col("_field.value")
+    first = F.left(F.ltrim(raw), F.lit(1))
+    kind = (
+        F.when(raw.isNull() | (raw == "null"), "null").when(first == "{", "object")
+        .when(first == "[", "array").when(raw.isin("true", "false"), "boolean")
+        .when(raw.rlike(r"^-?\d+(\.\d+)?([eE][+-]?\d+)?$"), "number").otherwise("string")
+    )
+    known = lines.select(chats.json_object(F.col(column)).alias("_object")).where(
+        F.col("_object").isNotNull()
+    )
+    mark = F.array(F.struct(F.lit(None).cast("string").alias("key"), F.lit("").alias("value")))
+    marks = known.select(F.explode(F.concat(mark, F.map_entries("_object"))).alias("_field"))
+    counted = marks.groupBy(F.col("_field.key").alias("field")).agg(
+        F.count("*").alias("present"), F.count_if(kind == "null").alias("nulls"),
+        *[F.count_if(kind == t).alias(f"_{t}") for t in JSON_TYPES],
+    )
+    types = F.array_compact(F.array(*[F.when(F.col(f"_{t}") > 0, t) for t in JSON_TYPES]))
+    records = F.max(F.when(F.col("field").isNull(), F.col("present"))).over(
+        Window.partitionBy(F.lit(0))        # of one row per field
+    )
+    return counted.select(
+        "field", F.array_join(types, "|").alias("types"), "present", "nulls",
+        (records - F.col("present")).alias("missing"), records.alias("records"),
+    ).where(F.col("field").isNotNull())
+
+
 def inferred_schema(records: DataFrame) -> DataFrame:
     """(field, type) of a record table in simple words. Reads metadata only."""
     words = {"array": "array", "struct": "object", "map": "object", "string": "string",

@@ -1034,11 +1034,10 @@ UNION ALL SELECT 'template_no_duplicates', count(*) = 0, count(*) FROM (
   SELECT EventId, system FROM templates GROUP BY ALL HAVING count(*) > 1)""",
         "labelled", "templates")
     q["i13_log_checks"] = using(event_checks, "labelled")
-    q["i14_qa_schema"] = using("""SELECT * FROM (VALUES
+    q["i14_qa_schema"] = using("""SELECT "check", status, severity, value FROM (VALUES
   ('schema_required_columns', 'fail', 'error', CAST(1 AS DOUBLE)),
   ('schema_extra_columns', 'warn', 'warning', CAST(1 AS DOUBLE)))
-  AS t("check", status, severity, value), (SELECT count(*) AS rows_checked FROM features)""",
-                               "features")
+  AS t("check", status, severity, value) WHERE (SELECT count(*) FROM features) > 0""", "features")
     dup = "(count(*) - count(DISTINCT question_id))"
     q["i15_qa_data_quality"] = using(f"""SELECT "check", status, CASE status WHEN 'fail'
   THEN 'error' WHEN 'warn' THEN 'warning' ELSE 'none' END AS severity,
@@ -1103,6 +1102,17 @@ UNION ALL SELECT 'unique_tags', CASE WHEN count(DISTINCT x) < 3 THEN 'warn' ELSE
     q["i22_record_violations"] = using(
         f"SELECT doc_id, {join_list('violations')} AS violations FROM lines", "lines")
 
+    q["i21_inferred_schema"] = """WITH good AS (SELECT * FROM customer WHERE c_custkey % 7 <> 0),
+field(field, types, present) AS (
+  SELECT 'c_custkey', 'number', count(*) FROM good
+  UNION ALL SELECT 'c_name', 'string', count(*) FROM good WHERE c_custkey % 3 <> 0 AND c_name IS NOT NULL
+  UNION ALL SELECT 'account', 'object', count(*) FROM good
+  UNION ALL SELECT 'state', 'string', count(*) FROM good WHERE c_acctbal < 0
+  UNION ALL SELECT 'good', 'boolean', count(*) FROM good WHERE c_acctbal IS NOT NULL
+  UNION ALL SELECT 'nations', 'array', count(*) FROM good)
+SELECT field, types, present, 0 AS nulls, n - present AS missing, n AS records
+FROM field, (SELECT count(*) AS n FROM good) WHERE present > 0"""
+
     # J
     skewed = "CAST(o_custkey AS DOUBLE)"
     skewed = " * ".join([skewed] * 4)
@@ -1141,6 +1151,27 @@ UNION ALL SELECT 'unique_tags', CASE WHEN count(DISTINCT x) < 3 THEN 'warn' ELSE
     q["j6_critical_sequences"] = using(f"""SELECT key, CAST(label AS BIGINT) AS label,
   {LABEL_NAME} AS label_name FROM sequences WHERE label IN (1, 2)""", "sequences")
     findings = "(SELECT *, CASE WHEN round(share, 4) < 0.01 THEN 'high' ELSE 'medium' END AS sev FROM call_summary WHERE share < 0.2)"
+    q["j1_outlier_summary"] = f"""SELECT "column", count(*) AS outliers,
+  count(*) > (SELECT count(*) FROM orders) * 0.05 AS warning
+  FROM ({" UNION ALL ".join(outliers)}) GROUP BY 1"""
+    q["j7_validation_alert"] = """SELECT 'validation_failure' AS type, 'error' AS severity,
+  'Data validation failed' AS title,
+  'Data validation failed with ' || n || ' check(s) in orders' AS message, 'orders' AS pipeline,
+  '{"failed_checks":"' || names || '","total_failures":' || n || '}' AS details
+FROM (SELECT count(*) AS n, string_agg(name, ', ' ORDER BY name) AS names FROM (
+  SELECT 'row_count' AS name FROM (SELECT count(*) AS n FROM orders) WHERE n < 1 OR n > 100
+  UNION ALL SELECT 'range_o_totalprice' FROM (SELECT count(*) FILTER (
+    o_totalprice < 0 OR o_totalprice > 10000) AS n FROM orders) WHERE n > 0)) WHERE n > 0"""
+    q["j7_quality_alert"] = """SELECT 'data_quality_issue' AS type, 'warning' AS severity,
+  'Data quality issue' AS title,
+  'buyer is missing in ' || printf('%.2f', pct) || ' % of the rows' AS message,
+  'orders' AS pipeline, '{"column":"buyer","null_pct":' || pct || '}' AS details
+FROM (SELECT round(count(*) FILTER (o_orderkey % 3 <> 0 OR o_custkey IS NULL) / count(*) * 100, 2)
+  AS pct FROM orders) WHERE pct > 10"""
+    q["j7_alert_history"] = """SELECT timestamp, key FROM (
+  SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS timestamp, o_orderkey AS key FROM orders
+  UNION ALL SELECT '9999-01-01', c_custkey FROM customer)
+  ORDER BY timestamp DESC, key LIMIT 500"""
     q["j7_alerts"] = using(f"""SELECT 'anomaly_detected' AS type,
   CASE WHEN n > 10 THEN 'error' ELSE 'warning' END AS severity, 'Data anomalies' AS title,
   'Found ' || n || ' anomalies in traces' AS message, 'traces' AS pipeline,
@@ -1159,6 +1190,14 @@ FROM (SELECT count(*) AS n, count(*) FILTER (sev = 'high') AS high,
   round(count(*) / (SELECT count(*) FROM sequences) * 100, 2) AS pct,
   label = 0 AND round(count(*) / (SELECT count(*) FROM sequences) * 100, 2) > 30 AS bias_detected
   FROM sequences GROUP BY label""", "sequences")
+    q["k1_after_balancing"] = f"""SELECT label, {LABEL_NAME} AS label_name, count(*) AS count,
+  round(count(*) / sum(count(*)) OVER () * 100, 2) AS pct,
+  label = 0 AND round(count(*) / sum(count(*)) OVER () * 100, 2) > 30 AS bias_detected
+  FROM ({q["h1_balance_classes"]}) GROUP BY label"""
+    q["e9_stratified_split"] = """SELECT o_orderkey, CASE WHEN rn < floor(n * 0.8) THEN 'train'
+  ELSE 'test' END AS split FROM (SELECT o_orderkey,
+    row_number() OVER (PARTITION BY o_orderstatus ORDER BY md5(o_orderkey || ':42')) - 1 AS rn,
+    count(*) OVER (PARTITION BY o_orderstatus) AS n FROM orders)"""
     q["k2_status_disparity"] = using("""SELECT max(r) - min(r) AS difference,
   max(r) - min(r) > 0.1 AS bias_detected FROM (
   SELECT avg(CAST(coalesce(status, 'Unknown') = 'Failed' AS INT)) AS r FROM tasks

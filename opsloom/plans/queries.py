@@ -1130,10 +1130,12 @@ def i13_log_checks(t: Tables) -> DataFrame:
 
 @query
 def i14_qa_schema(t: Tables) -> DataFrame:
-    features = t.features()
-    report = qa.check_schema(features.withColumn("note", F.lit(1)).drop("title"))
-    rows = features.agg(F.count("*")).scalar()
-    return report.withColumn("rows_checked", rows)
+    changed = t.features().withColumn("note", F.lit(1)).drop("title")
+    lines = changed.select(
+        F.to_json(F.struct(*changed.columns), {"ignoreNullFields": "false"}).alias("line")
+    )
+    fields = workflows.json_fields(lines, "line")
+    return qa.check_schema(fields)
 
 
 @query
@@ -1176,6 +1178,19 @@ def i21_chat_statistics(t: Tables) -> DataFrame:
     return workflows.chat_statistics(t.chat_records())
 
 
+@query
+def i21_inferred_schema(t: Tables) -> DataFrame:
+    changed = t.read("customer").select(F.when(
+        F.col("c_custkey") % 7 == 0, F.lit("{broken")
+    ).otherwise(F.to_json(F.struct(
+        "c_custkey", F.when(F.col("c_custkey") % 3 != 0, F.col("c_name")).alias("c_name"),
+        F.struct(F.col("c_acctbal").alias("balance")).alias("account"),
+        F.when(F.col("c_acctbal") < 0, F.lit("debit")).otherwise(F.lit(None)).alias("state"),
+        (F.col("c_acctbal") > 0).alias("good"), F.array("c_nationkey").alias("nations"),
+    ))).alias("line"))
+    return workflows.json_fields(changed, "line")
+
+
 @query
 def i22_record_violations(t: Tables) -> DataFrame:
     return corpus.record_violations(t.record_lines()).select(
@@ -1223,6 +1238,42 @@ def j6_critical_sequences(t: Tables) -> DataFrame:
     return sequences.critical_sequences(t.sequences()).select("key", "label", "label_name")
 
 
+@query
+def j1_outlier_summary(t: Tables) -> DataFrame:
+    customer = F.col("o_custkey").cast("double")
+    prices = t.read("orders").select(
+        F.col("o_orderkey").alias("question_id"), "o_totalprice",
+        (customer * customer * customer * customer).alias("skewed"),
+    )
+    return qa.outlier_summary(prices, "question_id", ["o_totalprice", "skewed"])
+
+
+@query
+def j7_validation_alert(t: Tables) -> DataFrame:
+    checks = quality.run_checks(t.read("orders"), [
+        quality.row_count(1, 100), quality.value_range(t.read("orders"), "o_totalprice", 0, 10000),
+        quality.no_nulls(t.read("orders"), ["o_orderkey"]),
+    ])
+    return alerts.validation_alert(checks, "orders")
+
+
+@query
+def j7_quality_alert(t: Tables) -> DataFrame:
+    rows = t.read("orders").select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 3 == 0, F.col("o_custkey")).alias("buyer")
+    )
+    return alerts.quality_alert(profile.null_rates(rows), "orders", 10.0)
+
+
+@query
+def j7_alert_history(t: Tables) -> DataFrame:
+    history = t.read("orders").select(
+        F.col("o_orderdate").cast("string").alias("timestamp"), F.col("o_orderkey").alias("key")
+    )
+    newer = t.read("customer").select(F.col("c_custkey").alias("key"))
+    return alerts.append_history(history, newer, F.lit("9999-01-01"), 500)
+
+
 @query
 def j7_alerts(t: Tables) -> DataFrame:
     anomalies = alerts.anomaly_alert(
@@ -1236,6 +1287,17 @@ def j7_alerts(t: Tables) -> DataFrame:
 
 # --- K: bias and slices -------------------------------------------------------------------------------
 
+@query
+def k1_after_balancing(t: Tables) -> DataFrame:
+    return sequences.label_imbalance(balance.balance_classes(t.sequences(), "key"), 30.0)
+
+
+@query
+def e9_stratified_split(t: Tables) -> DataFrame:
+    split = balance.train_test_split(t.read("orders"), "o_orderkey", stratify_by=["o_orderstatus"])
+    return split.select("o_orderkey", "split")
+
+
 @query
 def k1_label_imbalance(t: Tables) -> DataFrame:
     return sequences.label_imbalance(t.sequences(), 30.0)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,17 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 def checkpoint_dir(spark: SparkSession) -> str:
     """The folder for reliable checkpoints, as the cluster names it.
 
-    ``spark.checkpoint.dir`` is read from the session. An unset value is an error, because a
-    machine-local folder would be lost with its executor.
+    ``spark.checkpoint.dir`` is read from the session. Where it is unset and the master is local,
+    as in tests, one process holds driver and executors and a temporary folder is set; on a
+    cluster an unset value is an error, because a machine-local folder is lost with its executor.
     """
     context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    context.setCheckpointDir(configured)
+    if not context.getCheckpointDir():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and context.master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="opsloom-checkpoint-"))
     return context.getCheckpointDir()
 
 
