@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -72,24 +72,44 @@ def _distinct_by(df: DataFrame, column: str) -> Column:
 
 def dataset_statistics(df: DataFrame, distributions: Sequence[str],
                        distinct: Sequence[str]) -> DataFrame:
-    """Tidy report (metric, name, value): size, distributions, null rates, distinct counts."""
-    def tidy(frame: DataFrame, metric: str, name: Column, value: str) -> DataFrame:
-        return frame.select(
-            F.lit(metric).alias("metric"), name.cast("string").alias("name"),
-            F.col(value).cast("double").alias("value"),
-        )
-
-    size = df.agg(F.count("*").alias("value"))
-    frames = [
-        tidy(size, "total_rows", F.lit(""), "value"),
-        tidy(size.select(F.lit(len(df.columns)).alias("value")), "total_columns", F.lit(""),
-             "value"),
-        tidy(null_rates(df), "null_rate_pct", F.col("column"), "null_pct"),
-        tidy(distinct_counts(df, distinct), "unique", F.col("column"), "n_unique"),
+    """Tidy report (metric, name, value): size, distributions, null rates, distinct counts.
+
+    One pass: every row leaves marks (metric, name, value, weight), which are summed first per
+    value and then per name, so a distinct count is a count of sums. An empty table has no report.
+    """
+    none = F.lit(None).cast("binary")
+
+    def mark(metric: str, name: Column, value: Column = none, weight: Column = F.lit(1)) -> Column:
+        return F.struct(F.lit(metric).alias("metric"), name.cast("string").alias("name"),
+                        value.alias("of"), weight.cast("bigint").alias("weight"))
+
+    marks = [mark("total_rows", F.lit(""))]
+    marks += [mark("null_rate_pct", F.lit(c), weight=F.col(c).isNull()) for c in df.columns]
+    marks += [mark(f"distribution_{c}", F.col(c)) for c in distributions]
+    marks += [
+        mark("unique", F.lit(c), F.unhex(F.md5(F.col(c).cast("string").cast("binary"))))
+        for c in distinct
     ]
-    for c in distributions:
-        frames.append(tidy(value_counts(df, c), f"distribution_{c}", F.col("value"), "count"))
-    return reduce(DataFrame.unionByName, frames)
+    sums = (
+        df.select(F.inline(F.array(*marks)))
+        .groupBy("metric", "name", "of").agg(F.sum("weight").alias("rows"))
+        .groupBy("metric", "name").agg(F.sum("rows").alias("rows"), F.count("*").alias("values"))
+    )
+    # one row per figure by now
+    total = F.max(F.when(F.col("metric") == "total_rows", F.col("rows"))).over(
+        Window.partitionBy(F.lit(0))
+    )
+    value = (
+        F.when(F.col("metric") == "unique", F.col("values"))
+        .when(F.col("metric") == "null_rate_pct", F.round(F.col("rows") / F.col("_total") * 100, 2))
+        .otherwise(F.col("rows")).cast("double")
+    )
+    own = F.struct("metric", "name", value.alias("value"))
+    width = F.when(F.col("metric") == "total_rows", F.struct(
+        F.lit("total_columns").alias("metric"), F.lit("").alias("name"),
+        F.lit(float(len(df.columns))).alias("value"),
+    ))
+    return sums.withColumn("_total", total).select(F.inline(F.array_compact(F.array(own, width))))
 
 
 def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:

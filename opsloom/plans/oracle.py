@@ -1202,6 +1202,10 @@ FROM (SELECT count(*) AS n, count(*) FILTER (sev = 'high') AS high,
   max(r) - min(r) > 0.1 AS bias_detected FROM (
   SELECT avg(CAST(coalesce(status, 'Unknown') = 'Failed' AS INT)) AS r FROM tasks
   GROUP BY status)""", "tasks")
+    q["k2_task_type_disparity"] = using("""SELECT round(max(r) - min(r), 9) AS difference,
+  max(r) - min(r) > 0.1 AS bias_detected FROM (
+  SELECT avg(CAST(coalesce(status, 'Unknown') = 'Failed' AS INT)) AS r FROM tasks
+  GROUP BY task_type)""", "tasks")
     q["k3_log_bias_flags"] = using("""WITH t AS (SELECT count(*) FILTER (severity = 'ERROR')
     / count(*) * CAST(1.02 AS DOUBLE) AS lim FROM labelled)
 SELECT system AS slice, 'error_rate' AS metric, rate AS value, round(lim, 4) AS threshold FROM t,

@@ -34,9 +34,15 @@ def read_positional_csv(spark: SparkSession, path: str, schema: str | StructType
     return spark.read.schema(schema).option("header", False).csv(path)
 
 
-def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with header, every column a string."""
-    return spark.read.option("header", True).option("escape", '"').csv(path)
+def read_text_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """CSV with header, every column a string.
+
+    Line breaks inside quoted fields need ``multi_line``; such files cannot be split.
+    """
+    return (
+        spark.read.option("header", True).option("escape", '"')
+        .option("multiLine", multi_line).csv(path)
+    )
 
 
 def read_wide_text_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
