@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 4 << 20
+from opsloom.session import scratch_path
+
+SLICE_BYTES = 2 << 20
 
 
 def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -57,37 +58,17 @@ def strings(texts: pa.Array) -> list[str]:
     return [text or "" for text in texts.to_pylist()]
 
 
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder for a table written and read back, in the shared checkpoint folder."""
-    return f"{set_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def set_checkpoint_dir(spark: SparkSession) -> str:
-    """The reliable checkpoint folder the cluster names in ``spark.checkpoint.dir``."""
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        context.setCheckpointDir(folder)
-    return context.getCheckpointDir()
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to a fresh table in the shared folder and read back.
 
     Later stages read the files, so a lost executor costs them nothing that was written.
     """
     spark = df.sparkSession
-    path = shared_folder(spark, name)
+    path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def digest(text: Column) -> Column:
-    return F.sha2(text.cast("binary"), 256)
-
-
 _ROOTS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _TABLES: dict = {}
 
@@ -102,6 +83,11 @@ def powers(base: int, size: int) -> np.ndarray:
     return have[:size]
 
 
+def released() -> None:
+    """Give back the tables of this worker when a task ends; the next makes them anew."""
+    _TABLES.clear()
+
+
 def span_hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, which: int) -> np.ndarray:
     """A 64-bit hash of each span's bytes, with random byte values; ``which`` is 0 or 1."""
     if ("values", which) not in _TABLES:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from opsloom.llm.common import (
-    SpanMemory, edges_of, id_and_text, id_type, slices, strings, written,
+    SpanMemory, edges_of, id_and_text, id_type, released, slices, strings, written,
 )
 from opsloom.llm.token_counts import byte_symbols
 
@@ -135,6 +135,7 @@ def encoded(
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(columns, kinds)], names=names
                 )
+        released()
 
     kind = id_type(docs, id_col)
     return id_and_text(docs, id_col, text_col).mapInArrow(
@@ -145,7 +146,7 @@ def encoded(
 
 def pack_documents(
     docs: DataFrame, vocabulary: str, window: int = 4096, end_id: int = 2, id_col: str = "doc_id",
-    text_col: str = "text", remembered: int = 600_000,
+    text_col: str = "text", remembered: int = 400_000,
 ) -> DataFrame:
     """One row per piece: its document, place in the document, sequence, offset there and ids.
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opsloom.llm.common import edges_of, id_type, raw, slices, span_hashes, written
+from opsloom.llm.common import edges_of, id_type, raw, released, slices, span_hashes, written
 
 LENGTH, GRAM = 100, 24
 CROWD = 20_000
@@ -131,6 +131,7 @@ def find_anchors(rows: DataFrame, length: int, gram: int) -> DataFrame:
                     np.concatenate([place[kept], begin]).astype(np.int32),
                     np.concatenate([np.zeros(len(kept), dtype=np.int64), upto]).astype(np.int32),
                 )
+        released()
 
     return rows.mapInArrow(run, ROWS)
 
@@ -393,7 +394,7 @@ def repeated_spans(texts: DataFrame, length: int, gram: int, crowd: int) -> Data
 
 def remove_repeats(
     docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text",
-    crowd: int = CROWD, carry: tuple[str, ...] = (),
+    crowd: int = CROWD, carry: tuple[str, ...] = (), as_text: bool = False,
 ) -> DataFrame:
     """One row per document: bytes, removed bytes, removed runs, digest and bytes of what is kept.
 
@@ -402,7 +403,8 @@ def remove_repeats(
     id and text are one document; rows that share an id but not a text are documents of their own,
     ordered by a hash of the text. Rows without an id come last. A null text is empty. Other
     columns are read only if ``carry`` names them, and come behind the others. ``crowd`` is the
-    number of contexts beyond which a gram is settled by aggregates.
+    number of contexts beyond which a gram is settled by aggregates. With ``as_text`` the kept
+    bytes come as text, without the characters that a cut has split.
     """
     last = (1 << 63) - 1
     texts = docs.select(
@@ -419,7 +421,7 @@ def remove_repeats(
         F.when(F.col("id") < last, F.col("id")).cast(kind).alias("own_id"), "text", "spans", *extra
     )
     names = [id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", *carry]
-    kinds = [kind, "long", "long", "long", "string", "binary",
+    kinds = [kind, "long", "long", "long", "string", "string" if as_text else "binary",
              *[docs.schema[name].dataType.simpleString() for name in carry]]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -428,7 +430,9 @@ def remove_repeats(
                 rows = [removed(text, spans) for text, spans in zip(
                     part.column("text").to_pylist(), part.column("spans").to_pylist()
                 )]
-                types = [pa.int64()] * 3 + [pa.string(), pa.binary()]
+                if as_text:
+                    rows = [(*row[:-1], row[-1].decode(errors="ignore")) for row in rows]
+                types = [pa.int64()] * 3 + [pa.string(), pa.string() if as_text else pa.binary()]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("own_id"), *[pa.array(c, t) for c, t in zip(zip(*rows), types)],
                      *[part.column(name) for name in extra]],

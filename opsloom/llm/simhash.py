@@ -23,7 +23,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opsloom.llm.common import id_and_text, id_type, raw, set_checkpoint_dir, slices, written
+from opsloom.llm.common import id_and_text, id_type, raw, slices, written
+from opsloom.session import checkpoint_dir
 
 BITS, SEGMENT = 64, 32
 DISTANCE = 2
@@ -139,7 +140,7 @@ def components(pairs: DataFrame) -> DataFrame:
     Each round every node takes the least root among its own and its neighbours', and then the
     root of that root; rounds end when no root changes. Rounds are cut by reliable checkpoints.
     """
-    set_checkpoint_dir(pairs.sparkSession)
+    checkpoint_dir(pairs.sparkSession)
     both = pairs.unionByName(pairs.select(F.col("right").alias("left"), F.col("left").alias("right")))
     both = written(both, "simhash-links")
     roots = both.groupBy(F.col("left").alias("node")).agg(F.min("right").alias("near")).select(

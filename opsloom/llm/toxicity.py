@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 WORD = re.compile(r"[^\W\d_]+")
 SENTENCE = re.compile(r"(?<=[.!?\n])\s+")
 PREFIXES = (4, 5)
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 
 # Terms that name groups of people, by kind; a counterfactual swaps terms within a kind.
 GROUP_TERMS = (
