@@ -123,8 +123,9 @@ def fit(
     """Fit the classifier to the features of labelled texts and of counterfactual sentences.
 
     ``chosen`` features that differ most between the classes are kept. ``penalty`` weighs the mean
-    squared change of the logit between a labelled sentence and its counterfactual. Without texts
-    of both classes the model is the smoothed rate alone.
+    squared change of the logit between a labelled sentence and its counterfactual. The rarer
+    class weighs more, by the square root of the classes' ratio. Without texts of both classes
+    the model is the smoothed rate alone.
     """
     labels = np.array(toxic, dtype=np.float64)
     rate = (labels.sum() + 0.1) / (len(labels) + 1)
@@ -145,8 +146,9 @@ def fit(
     rows = Sparse(bags, names[kept])
     first, second = (Sparse([p[side] for p in pairs], names[kept]) for side in (0, 1))
     weights, moved, moved_bias = np.zeros(len(kept)), np.zeros(len(kept)), 0.0
+    care = np.where(labels == 1, np.sqrt((1 - share) / share), 1.0)
     for _ in range(rounds):
-        error = sigmoid(rows.times(weights) + bias) - labels
+        error = (sigmoid(rows.times(weights) + bias) - labels) * care
         slope = rows.back(error) / len(labels) + l2 * weights
         if pairs:
             change = first.times(weights) - second.times(weights)
