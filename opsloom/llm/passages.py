@@ -30,7 +30,8 @@ from opsloom.llm.common import edges_of, id_type, raw, released, slices, span_ha
 
 LENGTH, GRAM = 100, 24
 CROWD = 20_000
-BLOCK_ROWS = 50_000
+BLOCK_ROWS = 20_000
+ANCHOR_BYTES = 1 << 20
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
@@ -99,7 +100,7 @@ def find_anchors(rows: DataFrame, length: int, gram: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", ANCHOR_BYTES):
                 offsets, data = raw(part.column("text"))
                 places, grams = anchors(data, offsets, length, gram)
                 if not len(places):
