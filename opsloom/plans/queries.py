@@ -1269,7 +1269,8 @@ def j7_quality_alert(t: Tables) -> DataFrame:
 @query
 def j7_alert_history(t: Tables) -> DataFrame:
     history = t.read("orders").select(
-        F.col("o_orderdate").cast("string").alias("timestamp"), F.col("o_orderkey").alias("key")
+        F.col("o_orderdate").cast("date").cast("string").alias("timestamp"),
+        F.col("o_orderkey").alias("key"),
     )
     newer = t.read("customer").select(F.col("c_custkey").alias("key"))
     return alerts.append_history(history, newer, F.lit("9999-01-01"), 500)
