@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opsloom.llm import (
-    line_quality, neighbours, packing, passages, pieces, secrets, simhash, token_counts, toxicity,
+    licenses, line_quality, neighbours, packing, passages, pieces, secrets, simhash, token_counts, toxicity,
 )
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,15 @@ def op1_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op2_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    shown = F.transform("notices", lambda n: F.concat_ws(
+        ":", n["name"], F.round(n["coverage"], 4), n["start"], n["end"]
+    ))
+    return found.select("doc_id", "n_notices", F.array_join(shown, ",").alias("notices"))
+
+
 @query
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
