@@ -38,8 +38,15 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 MIN_VALUE, MIN_ACCESS = 8, 16
 
-LONG = re.compile(r"(?<!\S)\S{20,}")
-BASE64 = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
+# the shortest secret has 14 bytes (token:12345678): 19 digits
+DIGITS = 19
+LONG = re.compile(r"(?<!\S)\S{%d,}" % DIGITS)
+BASE64 = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % DIGITS)
+# words of digits that follow each other over line breaks, quoted or indented ones too
+WRAPPED = re.compile(
+    r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[ \t]*+(?:\r\n?|\n)[ \t>#*]*+[A-Za-z0-9+/_-]++)++={0,2}"
+)
+LINE = re.compile(r"[A-Za-z0-9+/_-]+")
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})")
 OPENERS = ((b"\x1f\x8b", "gzip"), (b"BZh", "bz2"), (b"\xfd7zXZ\x00", "xz"))
@@ -150,30 +157,70 @@ def readable(data: bytes) -> str | None:
     return None if re.search(r"[\x00-\x08\x0e-\x1f\x7f]", text) else text
 
 
-def base64_layers(layer: Layer, most: int) -> Iterator[Layer]:
-    for word in LONG.finditer(layer.text):
+def wrapped_runs(text: str) -> Iterator[list[tuple[int, int]]]:
+    """Spans of the lines of base64 that is wrapped over two or more lines.
+
+    All lines are equally long, but for a shorter last one. A short word after the last full line
+    may be no part of it, so the full lines are given alone too, and a first line may be short
+    where something stands before it.
+    """
+    for match in WRAPPED.finditer(text):
+        if match.end() - match.start() < DIGITS:
+            continue
+        lines = [(match.start() + m.start(), match.start() + m.end()) for m in LINE.finditer(match[0])]
+        sizes = [b - a for a, b in lines]
+        at = 0
+        while at < len(lines):
+            end = at + 1
+            while end < len(lines) and sizes[end] == sizes[at]:
+                end += 1
+            shorter = end < len(lines) and sizes[end] < sizes[at]
+            for first in {at, max(at - 1, 0)}:
+                if first < at and sizes[first] > sizes[at]:
+                    continue
+                for last in (end, end + 1) if shorter else (end,):
+                    if last - first > 1:
+                        yield lines[first:last]
+            at = end
+
+
+def base64_runs(text: str) -> Iterator[tuple[str, np.ndarray, int]]:
+    """(digits, their places, end with padding) of what may be base64."""
+    for word in LONG.finditer(text):
         for match in BASE64.finditer(word[0]):
-            digits = match[0].rstrip("=").translate(str.maketrans("-_", "+/"))
-            try:
-                data = base64.b64decode(digits + "=" * (-len(digits) % 4), validate=True)
-            except (binascii.Error, ValueError):
-                continue
-            start = word.start() + match.start()
-            content = unpacked(data, most)
-            if content is not None:
-                first, last = layer.span(start, start + len(match[0]))
-                text = content.decode(errors="replace")
-                yield Layer(text, np.full(len(text), first), np.full(len(text), last))
-                continue
-            text = readable(data)
-            if text is None:
-                continue
-            # three bytes come from four digits
-            sizes = np.array([len(c.encode()) for c in text], dtype=np.int64)
-            end = np.cumsum(sizes)
-            first = start + (end - sizes) * 4 // 3
-            last = np.minimum(start + -(-end * 4 // 3), start + len(digits))
-            yield Layer(text, layer.begins[first], layer.ends[last - 1])
+            start, digits = word.start() + match.start(), match[0].rstrip("=")
+            yield digits, np.arange(start, start + len(digits)), word.start() + match.end()
+    if "\n" in text or "\r" in text:
+        for lines in wrapped_runs(text):
+            digits = "".join([text[a:b] for a, b in lines])
+            if len(digits) >= DIGITS:
+                end = lines[-1][1]
+                padding = len(text[end:end + 2]) - len(text[end:end + 2].lstrip("="))
+                yield digits, np.concatenate([np.arange(a, b) for a, b in lines]), end + padding
+
+
+def base64_layers(layer: Layer, most: int) -> Iterator[Layer]:
+    for digits, places, stop in base64_runs(layer.text):
+        plain = digits.translate(str.maketrans("-_", "+/"))
+        try:
+            data = base64.b64decode(plain + "=" * (-len(plain) % 4), validate=True)
+        except (binascii.Error, ValueError):
+            continue
+        content = unpacked(data, most)
+        if content is not None:
+            first, last = layer.span(places[0], stop)
+            text = content.decode(errors="replace")
+            yield Layer(text, np.full(len(text), first), np.full(len(text), last))
+            continue
+        text = readable(data)
+        if text is None:
+            continue
+        # three bytes come from four digits
+        sizes = np.array([len(c.encode()) for c in text], dtype=np.int64)
+        end = np.cumsum(sizes)
+        first = (end - sizes) * 4 // 3
+        last = np.minimum(-(-end * 4 // 3), len(digits)) - 1
+        yield Layer(text, layer.begins[places[first]], layer.ends[places[last]])
 
 
 def deeper(layer: Layer, most: int) -> Iterator[Layer]:
@@ -193,7 +240,7 @@ def all_spans(
     """
     plain = found(text)
     every = set(plain)
-    if LONG.search(text) or "%" in text or "\\" in text:
+    if LONG.search(text) or "%" in text or "\\" in text or WRAPPED.search(text):
         places = np.arange(len(text))
         waiting, met = deque([Layer(text, places, places + 1)]), set()
         while waiting:
