@@ -11,12 +11,12 @@ from __future__ import annotations
 import base64
 import binascii
 import bz2
-import gzip
+import codecs
 import hashlib
-import io
 import lzma
 import re
 import zlib
+from bisect import bisect_right, insort
 from collections import deque
 from collections.abc import Iterator
 
@@ -50,7 +50,9 @@ LINE = re.compile(r"[A-Za-z0-9+/_-]+")
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})")
 OPENERS = ((b"\x1f\x8b", "gzip"), (b"BZh", "bz2"), (b"\xfd7zXZ\x00", "xz"))
-UNPACKED_BYTES = 64 << 20
+WINDOW, CHUNK_BYTES = 64 << 20, 1 << 20
+TOTAL_BYTES = 4 << 30
+SPACES = re.compile(r"\x20{2,}")
 
 
 def found(text: str) -> list[tuple[str, int, int]]:
@@ -129,23 +131,109 @@ def unicode_pieces(match: re.Match) -> list[tuple[str, int, int]] | None:
     return [(chr(point), 0, len(match[0]))]
 
 
-def unpacked(data: bytes, most: int) -> bytes | None:
-    """Content of gzip, bzip2, xz or zlib data, None if it is none or larger than ``most``."""
+def unpacked(data: bytes) -> Iterator[bytes | None]:
+    """Content of gzip, bzip2, xz or zlib data in chunks, as far as it can be read; None at a good end."""
     kind = next((name for opener, name in OPENERS if data.startswith(opener)), None)
-    try:
-        if kind == "gzip":
-            content = gzip.GzipFile(fileobj=io.BytesIO(data)).read(most + 1)
-        elif kind == "bz2":
-            content = bz2.BZ2Decompressor().decompress(data, most + 1)
-        elif kind == "xz":
-            content = lzma.LZMADecompressor().decompress(data, most + 1)
-        elif len(data) > 2 and data[0] == 0x78 and int.from_bytes(data[:2], "big") % 31 == 0:
-            content = zlib.decompressobj().decompress(data, most + 1)
-        else:
-            return None
-    except (OSError, EOFError, ValueError, zlib.error, lzma.LZMAError):
-        return None
-    return content if len(content) <= most else None
+    if kind is None and len(data) > 2 and data[0] == 0x78 and int.from_bytes(data[:2], "big") % 31 == 0:
+        kind = "zlib"
+    while kind:
+        make = {"gzip": lambda: zlib.decompressobj(31), "bz2": bz2.BZ2Decompressor,
+                "xz": lzma.LZMADecompressor, "zlib": zlib.decompressobj}
+        packed, rest = make[kind](), data
+        try:
+            while not packed.eof:
+                chunk = packed.decompress(rest, CHUNK_BYTES)
+                rest = getattr(packed, "unconsumed_tail", b"")
+                if chunk:
+                    yield chunk
+                elif not rest and getattr(packed, "needs_input", True) and not packed.eof:
+                    return      # the data ends early
+        except (OSError, EOFError, ValueError, zlib.error, lzma.LZMAError):
+            return
+        yield None
+        data = packed.unused_data.lstrip(b"\0")      # more members may follow
+        kind = next((name for opener, name in OPENERS if data.startswith(opener)), None)
+
+
+class Scan:
+    """What is found in a document: spans, layers met, bytes that may still be unpacked."""
+
+    def __init__(self, left: int, most: int | None, window: int):
+        self.every, self.met, self.left, self.complete = set(), set(), left, True
+        self.most, self.window, self.whole = most, window, False
+
+    def counted(self, chunks: Iterator[bytes | None]) -> Iterator[bytes]:
+        self.whole = False
+        for chunk in chunks:
+            self.whole = chunk is None
+            if chunk is None:
+                continue
+            if self.left < len(chunk):
+                self.complete = False
+                return
+            self.left -= len(chunk)
+            yield chunk
+
+    def small(self, chunks: Iterator[bytes]) -> Iterator[bytes]:
+        """The chunks, none if they are more than a caller allows."""
+        held, size = [], 0
+        for chunk in chunks:
+            held.append(chunk)
+            size += len(chunk)
+            if size > self.most:
+                self.complete = False
+                return
+        yield from held
+
+    def windows(self, chunks: Iterator[bytes | None]) -> Iterator[tuple[str, bool]]:
+        """Texts of at most ``window`` characters, each with the latter half of the one before.
+
+        The second value tells whether there are several. Runs of spaces count as one there, so that
+        no pattern is longer than half a window but for unbroken words: such are not decoded
+        whole, and the scan is marked incomplete.
+        """
+        decoder, most, half = codecs.getincrementaldecoder("utf-8")("replace"), self.window, self.window // 2
+        parts, size, several, fresh = [], 0, False, False
+        read = self.counted(chunks)
+        for chunk in read if self.most is None else self.small(read):
+            parts.append(decoder.decode(chunk))
+            size += len(parts[-1])
+            fresh = True
+            if size <= most:
+                continue
+            text = SPACES.sub(" ", "".join(parts))
+            while len(text) > most:
+                several = True
+                self.judge(text[:most], half)
+                yield text[:most], True
+                text = text[half:]
+            parts, size = [text], len(text)
+        parts.append(decoder.decode(b"", True))
+        text = "".join(parts)
+        if fresh:
+            if several:
+                self.judge(text, half)
+            yield text, several
+
+    def judge(self, text: str, half: int) -> None:
+        for pattern in (re.compile(r"\S+"), WRAPPED):
+            if any(m.end() - m.start() > half for m in pattern.finditer(text)):
+                self.complete = False
+
+    def explore(self, layer: Layer) -> None:
+        waiting = deque([layer])
+        while waiting:
+            for inner, several in deeper(waiting.popleft(), self):
+                name = (hashlib.sha256(inner.text.encode(errors="replace")).digest(),
+                        *(inner.span(0, len(inner.text)) if inner.text else ()))
+                if name in self.met or not inner.text:
+                    continue
+                self.met.add(name)
+                self.every |= {(kind, *inner.span(a, b)) for kind, a, b in found(inner.text)}
+                if several:     # done before the next window is unpacked
+                    self.explore(inner)
+                else:
+                    waiting.append(inner)
 
 
 def readable(data: bytes) -> str | None:
@@ -178,7 +266,7 @@ def wrapped_runs(text: str) -> Iterator[list[tuple[int, int]]]:
             for first in {at, max(at - 1, 0)}:
                 if first < at and sizes[first] > sizes[at]:
                     continue
-                for last in (end, end + 1) if shorter else (end,):
+                for last in (end + 1, end) if shorter else (end,):
                     if last - first > 1:
                         yield lines[first:last]
             at = end
@@ -186,10 +274,6 @@ def wrapped_runs(text: str) -> Iterator[list[tuple[int, int]]]:
 
 def base64_runs(text: str) -> Iterator[tuple[str, np.ndarray, int]]:
     """(digits, their places, end with padding) of what may be base64."""
-    for word in LONG.finditer(text):
-        for match in BASE64.finditer(word[0]):
-            start, digits = word.start() + match.start(), match[0].rstrip("=")
-            yield digits, np.arange(start, start + len(digits)), word.start() + match.end()
     if "\n" in text or "\r" in text:
         for lines in wrapped_runs(text):
             digits = "".join([text[a:b] for a, b in lines])
@@ -197,20 +281,30 @@ def base64_runs(text: str) -> Iterator[tuple[str, np.ndarray, int]]:
                 end = lines[-1][1]
                 padding = len(text[end:end + 2]) - len(text[end:end + 2].lstrip("="))
                 yield digits, np.concatenate([np.arange(a, b) for a, b in lines]), end + padding
+    for word in LONG.finditer(text):
+        for match in BASE64.finditer(word[0]):
+            start, digits = word.start() + match.start(), match[0].rstrip("=")
+            yield digits, np.arange(start, start + len(digits)), word.start() + match.end()
 
 
-def base64_layers(layer: Layer, most: int) -> Iterator[Layer]:
+def base64_layers(layer: Layer, scan: Scan) -> Iterator[tuple[Layer, bool]]:
+    taken: list[tuple[int, int]] = []       # parts of what unpacked whole are nothing by themselves
     for digits, places, stop in base64_runs(layer.text):
+        at = bisect_right(taken, (int(places[0]), len(layer.text)))
+        if at and taken[at - 1][1] >= stop:
+            continue
         plain = digits.translate(str.maketrans("-_", "+/"))
         try:
             data = base64.b64decode(plain + "=" * (-len(plain) % 4), validate=True)
         except (binascii.Error, ValueError):
             continue
-        content = unpacked(data, most)
-        if content is not None:
-            first, last = layer.span(places[0], stop)
-            text = content.decode(errors="replace")
-            yield Layer(text, np.full(len(text), first), np.full(len(text), last))
+        first, last = layer.span(places[0], stop)
+        whole = False
+        for text, several in scan.windows(unpacked(data)):
+            whole = scan.whole      # set by the last window; inner layers change it later
+            yield Layer(text, np.broadcast_to(first, len(text)), np.broadcast_to(last, len(text))), several
+        if whole:
+            insort(taken, (int(places[0]), stop))
             continue
         text = readable(data)
         if text is None:
@@ -220,40 +314,39 @@ def base64_layers(layer: Layer, most: int) -> Iterator[Layer]:
         end = np.cumsum(sizes)
         first = (end - sizes) * 4 // 3
         last = np.minimum(-(-end * 4 // 3), len(digits)) - 1
-        yield Layer(text, layer.begins[places[first]], layer.ends[places[last]])
+        yield Layer(text, layer.begins[places[first]], layer.ends[places[last]]), False
 
 
-def deeper(layer: Layer, most: int) -> Iterator[Layer]:
+def deeper(layer: Layer, scan: Scan) -> Iterator[tuple[Layer, bool]]:
     if "%" in layer.text and (inner := rewritten(layer, PERCENT, url_pieces)):
-        yield inner
+        yield inner, False
     if "\\" in layer.text and (inner := rewritten(layer, UNICODE, unicode_pieces)):
-        yield inner
-    yield from base64_layers(layer, most)
+        yield inner, False
+    yield from base64_layers(layer, scan)
 
 
-def all_spans(
-    text: str, most: int = UNPACKED_BYTES
-) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
-    """Spans of the plain text, and of the text with all its layers; both in reading order.
+def scan_text(
+    text: str, most: int | None = None, total: int = TOTAL_BYTES, window: int = WINDOW
+) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], bool]:
+    """Spans of the plain text and of the text with all its layers, and whether all was scanned.
 
-    ``most`` bounds the size of one layer that compressed content unpacks to.
+    Both are in reading order. A layer that unpacks to more than ``window`` is scanned in windows.
+    ``total`` bounds what one document unpacks to, as a guard against bombs. Given ``most``, layers
+    that unpack to more bytes are left out.
     """
-    plain = found(text)
-    every = set(plain)
+    plain, scan = found(text), Scan(total, most, window)
     if LONG.search(text) or "%" in text or "\\" in text or WRAPPED.search(text):
         places = np.arange(len(text))
-        waiting, met = deque([Layer(text, places, places + 1)]), set()
-        while waiting:
-            for inner in deeper(waiting.popleft(), most):
-                name = (hashlib.sha256(inner.text.encode(errors="replace")).digest(),
-                        *(inner.span(0, len(inner.text)) if inner.text else ()))
-                if name in met or not inner.text:
-                    continue
-                met.add(name)
-                every |= {(kind, *inner.span(a, b)) for kind, a, b in found(inner.text)}
-                waiting.append(inner)
+        scan.explore(Layer(text, places, places + 1))
     order = lambda s: (s[1], KINDS.index(s[0]), s[2])
-    return sorted(plain, key=order), sorted(every, key=order)
+    return sorted(plain, key=order), sorted(scan.every | set(plain), key=order), scan.complete
+
+
+def all_spans(
+    text: str, most: int | None = None
+) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
+    """Spans of the plain text, and of the text with all its layers; both in reading order."""
+    return scan_text(text, most)[:2]
 
 
 def shown(spans: list[tuple[str, int, int]]) -> str:
@@ -274,39 +367,43 @@ def masked(text: str, spans: list[tuple[str, int, int]]) -> str:
 
 
 def scan_secrets(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = UNPACKED_BYTES,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int | None = None,
     with_text: bool = False,
 ) -> DataFrame:
-    """One row per document: its plain spans, all its spans, and with ``with_text`` the masked text.
+    """One row per document: its plain spans, all its spans, with ``with_text`` the masked text, and
+    whether it was fully scanned.
 
     Spans are (kind, start, end) in code points of the document, the end exclusive, ordered by start,
     kind and end. A null or empty text has none. Repeated rows give repeated rows; other columns
-    are not read. ``most`` bounds one unpacked layer, as a guard against archive bombs.
+    are not read. A layer that unpacks to more than 64 MiB is scanned in windows. ``complete`` is
+    false where a document unpacks to more than 4 GiB, where such a layer holds an unbroken word
+    of over half a window, and where a layer is left out because it unpacks to more than ``most``.
     """
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-    names = [id_col, "plain", "spans", "masked"]
+    names = [id_col, "plain", "spans", "masked", "complete"]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 texts = strings(part.column("text"))
-                both = [all_spans(text, most) for text in texts]
+                both = [scan_text(text, most) for text in texts]
                 lists = [
                     pa.array([[dict(zip(("kind", "start", "end"), s)) for s in row[i]] for row in both], span)
                     for i in (0, 1)
                 ]
                 masks = [masked(t, row[1]) if with_text else None for t, row in zip(texts, both)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), *lists, pa.array(masks, pa.string())], names=names
+                    [part.column("id"), *lists, pa.array(masks, pa.string()),
+                     pa.array([row[2] for row in both], pa.bool_())], names=names
                 )
 
     spans = "array<struct<kind:string,start:bigint,end:bigint>>"
     return id_and_text(docs, id_col, text_col).mapInArrow(
-        scan, f"`{id_col}` {id_type(docs, id_col)}, plain {spans}, spans {spans}, masked string"
+        scan, f"`{id_col}` {id_type(docs, id_col)}, plain {spans}, spans {spans}, masked string, complete boolean"
     )
 
 
-def mask_secrets(text: Column, most: int = UNPACKED_BYTES) -> Column:
+def mask_secrets(text: Column, most: int | None = None) -> Column:
     """Texts with every span of secrets, wrapped ones too, replaced by a mark; null stays null."""
     @F.pandas_udf("string")
     def mask(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
