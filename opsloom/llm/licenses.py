@@ -9,16 +9,18 @@ are rarest in the text: a match may lack some words, but not all of that many.
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from opsloom.llm.common import id_and_text, id_type, slices, strings
 
 WORD = re.compile(r"[^\W_]+")
+LONG = 64
 
 # fixed values: notices by name
 TEMPLATES = {
@@ -58,6 +60,9 @@ def align(text: list[str], template: list[str]) -> list[tuple[int, int]]:
         while a < b and c < d and text[a] == template[c]:       # equal beginnings of a gap
             out.append((a, c))
             a, c = a + 1, c + 1
+        while a < b and c < d and text[b - 1] == template[d - 1]:       # and equal ends
+            b, d = b - 1, d - 1
+            out.append((b, d))
         if a >= b or c >= d:
             continue
         seen, known = Counter(text[a:b]), Counter(template[c:d])
@@ -72,37 +77,116 @@ def align(text: list[str], template: list[str]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+class Template(list):
+    """Words of a template with their counts."""
+
+    def __init__(self, words: list[str]):
+        super().__init__(words)
+        self.counts = Counter(words)
+
+
+def stretches(words: list[str], places: dict[str, list[int]], template: list[str], lacking: int) -> set[tuple[int, int]]:
+    """Begin and end of the stretches of text that a match may lie in.
+
+    Around each rare word a wide stretch, and for a notice that follows itself, whose words occur
+    twice there, the template's length from each start that the word allows.
+    """
+    size, out = len(template), set()
+    if size > LONG:     # windows that overlap so far that each match lies in one
+        step = size // 8
+        width = size + 2 * lacking + step
+        known = set(template)
+        seen = np.concatenate([[0], np.cumsum([w in known for w in words])])
+        for begin in range(0, max(len(words) - width, 0) + step, step):
+            end = min(begin + width, len(words))
+            if end > begin and seen[end] - seen[begin] > size - lacking:
+                out.add((begin, end))
+        return out
+    rare = sorted(set(template), key=lambda w: (len(places.get(w, ())), w))[:lacking]
+    reach = size + lacking
+    for word in rare:
+        at = [j for j, w in enumerate(template) if w == word]
+        for centre in places.get(word, ()):
+            out.add((max(0, centre - reach), centre + reach + 1))
+            out |= narrow({centre - j for j in at}, size, lacking)
+    return out
+
+
+def narrow(starts: set[int], size: int, lacking: int) -> set[tuple[int, int]]:
+    out = set()
+    for start in starts:
+        for begin, end in ((start, start + size), (start, start + size + lacking), (start - lacking, start + size)):
+            out.add((max(0, begin), max(0, end)))
+    return out
+
+
+def best_apart(hits: dict[tuple[int, int], float]) -> list[tuple[int, int, float]]:
+    """The spans apart from each other that cover most in all, the shortest of equal ones."""
+    spans = sorted(hits, key=lambda h: (h[1], h[0]))
+    stops = [stop for _, stop in spans]
+    best = [(0.0, 0)]
+    before = []
+    for i, (start, stop) in enumerate(spans):
+        before.append(bisect_right(stops, start, 0, i))
+        total, length = best[before[i]]
+        best.append(max(best[i], (round(total + hits[start, stop], 9), length - (stop - start))))
+    out, i = [], len(spans)
+    while i:
+        if best[i] == best[i - 1]:
+            i -= 1
+        else:
+            out.append((*spans[i - 1], hits[spans[i - 1]]))
+            i = before[i - 1]
+    return out[::-1]
+
+
+def closest(found: list[tuple[str, float, int, int]], sizes: dict[str, int]) -> list[tuple[str, float, int, int]]:
+    """Without hits of like templates: of two that share over half of both spans the one that aligns more."""
+    out: list[tuple[str, float, int, int]] = []
+    for hit in sorted(found, key=lambda h: (-round(h[1] * sizes[h[0]]), -h[1], h[0])):
+        shared = lambda o: 2 * (min(o[3], hit[3]) - max(o[2], hit[2]))  # noqa: E731, B023
+        if all(o[0] == hit[0] or shared(o) <= max(o[3] - o[2], hit[3] - hit[2]) for o in out):
+            out.append(hit)
+    return out
+
+
 def scan(text: str, templates: dict[str, list[str]], least: float) -> list[tuple[str, float, int, int]]:
     """(name, coverage, start, end) of every notice, in characters; overlaps keep the best of a name."""
     lower = text.lower()
     if len(lower) != len(text):     # lower case that changes lengths would move the spans
         lower = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
     words = WORD.findall(lower)
-    present = set(words)
+    present = Counter(words)
     out, spots = [], None
     for name, template in templates.items():
-        if sum(w in present for w in template) < least * len(template):
+        lacking = int((1 - least) * len(template) + 1e-9) + 1
+        missing = 0
+        for word, count in (template.counts if isinstance(template, Template) else Counter(template)).items():
+            missing += max(0, count - present.get(word, 0))
+            if missing >= lacking:
+                break
+        if missing >= lacking:
             continue
         if spots is None:
             spots = [m.span() for m in WORD.finditer(lower)]
             places: dict[str, list[int]] = {}
             for i, word in enumerate(words):
                 places.setdefault(word, []).append(i)
-        lacking = int((1 - least) * len(template) + 1e-9) + 1
-        rare = sorted(set(template), key=lambda w: (len(places.get(w, ())), w))[:lacking]
-        reach, hits = len(template) + lacking, {}
-        for centre in sorted({i for w in rare for i in places.get(w, ())}):
-            begin = max(0, centre - reach)
-            pairs = align(words[begin:centre + reach + 1], template)
-            coverage = len(pairs) / len(template)
-            if coverage >= least:
-                span = spots[begin + pairs[0][0]][0], spots[begin + pairs[-1][0]][1]
-                hits[span] = max(hits.get(span, 0.0), coverage)
-        end = -1
-        for (start, stop), coverage in sorted(hits.items(), key=lambda h: (h[0][0], -h[1])):
-            if start >= end:
-                out.append((name, coverage, start, stop))
-                end = stop
+        hits: dict[tuple[int, int], float] = {}
+        waiting, met = stretches(words, places, template, lacking), set()
+        while waiting:
+            met |= waiting
+            starts = set()
+            for begin, end in waiting:
+                pairs = align(words[begin:end], template)
+                coverage = len(pairs) / len(template)
+                if coverage >= least:
+                    span = spots[begin + pairs[0][0]][0], spots[begin + pairs[-1][0]][1]
+                    hits[span] = max(hits.get(span, 0.0), coverage)
+                    starts.add(begin + pairs[0][0] - pairs[0][1])
+            waiting = narrow(starts, len(template), lacking) - met if len(template) > LONG and len(met) < len(words) else set()
+        out += [(name, coverage, start, stop) for start, stop, coverage in best_apart(hits)]
+    out = closest(out, {name: len(t) for name, t in templates.items()})
     return sorted(out, key=lambda h: (h[2], h[0]))
 
 
@@ -116,7 +200,7 @@ def scan_licenses(
     exclusive. A null or empty text has none; repeated rows give repeated rows; other columns are
     not read.
     """
-    known = {name: WORD.findall(t.lower()) for name, t in templates.items()}
+    known = {name: Template(WORD.findall(t.lower())) for name, t in templates.items()}
     hit = pa.list_(pa.struct([("name", pa.string()), ("coverage", pa.float64()),
                               ("start", pa.int64()), ("end", pa.int64())]))
 
