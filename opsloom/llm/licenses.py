@@ -12,6 +12,8 @@ import re
 from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
+from importlib import resources
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,25 @@ TEMPLATES = {
     "all-rights-reserved": "All rights reserved.",
 }
 
+SPDX = re.compile(
+    r"SPDX-License-Identifier:[ \t]*"
+    r"(\(*[A-Za-z0-9][A-Za-z0-9.+-]*\)*(?:[ \t]+(?:AND|OR|WITH)[ \t]+\(*[A-Za-z0-9][A-Za-z0-9.+-]*\)*)*)"
+)
+
+
+@cache
+def common_templates() -> dict[str, str]:
+    """The short notices, and full texts and standard headers of common licenses."""
+    texts = (f for f in resources.files("opsloom.llm").joinpath("license_texts").iterdir() if f.name.endswith(".txt"))
+    return TEMPLATES | {f.name[:-4]: f.read_text(encoding="utf-8") for f in sorted(texts, key=lambda f: f.name)}
+
+
+def spdx_lines(text: str) -> list[tuple[str, float, int, int]]:
+    """SPDX license lines, named by their expression."""
+    if "SPDX-License-Identifier:" not in text:
+        return []
+    return [(f"spdx {' '.join(m[1].split())}", 1.0, m.start(), m.end()) for m in SPDX.finditer(text)]
+
 
 def longest_rise(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Longest run of pairs, sorted by the first number, that rises in the second too."""
@@ -191,23 +212,28 @@ def scan(text: str, templates: dict[str, list[str]], least: float) -> list[tuple
 
 
 def scan_licenses(
-    docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float = 0.8,
+    docs: DataFrame, templates: dict[str, str] | None = None, least: float = 0.8,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """One row per document: how many notices it holds and each with coverage and span.
 
+    Without ``templates`` the common ones are taken, and SPDX lines count as notices.
     ``least`` is the share of a template's words that must align. Spans are code points, the end
     exclusive. A null or empty text has none; repeated rows give repeated rows; other columns are
     not read.
     """
-    known = {name: Template(WORD.findall(t.lower())) for name, t in templates.items()}
+    known = {name: Template(WORD.findall(t.lower())) for name, t in (templates or common_templates()).items()}
+    spdx = spdx_lines if templates is None else lambda _: []
     hit = pa.list_(pa.struct([("name", pa.string()), ("coverage", pa.float64()),
                               ("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                rows = [scan(text, known, least) for text in strings(part.column("text"))]
+                rows = [
+                    sorted(scan(text, known, least) + spdx(text), key=lambda h: (h[2], h[0]))
+                    for text in strings(part.column("text"))
+                ]
                 found = [[dict(zip(("name", "coverage", "start", "end"), h)) for h in r] for r in rows]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), pa.array([len(r) for r in rows], pa.int64()), pa.array(found, hit)],
