@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opsloom.llm import (
-    licenses, line_quality, neighbours, packing, passages, pieces, secrets, simhash, token_counts, toxicity,
+    licenses, line_quality, neighbours, packing, passages, pieces, prefix_trie, secrets, simhash, token_counts,
+    toxicity,
 )
+from opsloom.llm.common import written
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -108,3 +110,13 @@ def op10_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation begins with up to eight turns of the first of its five."""
+    turns = written(prefix_trie.numbered_turns(table(spark, sf_dir, "conversations")), "numbered-turns")
+    conv = F.col("conv")
+    heads = F.crc32(conv.cast("string").cast("binary")) % 9
+    rebuilt = prefix_trie.with_lent_heads(turns, conv - conv % 5, heads, most=8)
+    return prefix_trie.prefix_trie(rebuilt, turns.select("conv"))
