@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opsloom.llm import (
-    licenses, line_quality, neighbours, packing, passages, pieces, prefix_trie, secrets, simhash, token_counts,
-    toxicity,
+    best_fit, licenses, line_quality, neighbours, packing, passages, pieces, prefix_trie, secrets, simhash,
+    token_counts, toxicity,
 )
 from opsloom.llm.common import written
 
@@ -112,6 +112,16 @@ def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+@query
+def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = best_fit.best_fit_packing(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")
+    )
+    return packed.select(
+        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset"
+    )
+
+
 @query
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation begins with up to eight turns of the first of its five."""
