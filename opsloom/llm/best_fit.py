@@ -3,13 +3,14 @@
 Pass one encodes each partition and notes each piece's place among the pieces of its length in the
 partition. How many pieces there are of each length, at most one number per length, decides the
 packing: for each sequence a subset-sum over a bit set of the lengths that are left finds the
-fullest combination, which is then removed, as often as its lengths last. The counts of the
+fullest combination, which is then removed, as often as its lengths last; a second plan gives each sequence
+the largest length left and is taken if it needs fewer sequences. The counts of the
 partitions give every piece its place among all pieces of its length, and so its sequence.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 from pathlib import Path
 
@@ -53,14 +54,26 @@ def fullest(left: Mapping[int, int], window: int) -> list[tuple[int, int]]:
     return sorted(taken.items(), reverse=True)
 
 
-def plan(counts: Mapping[int, int], window: int) -> list[tuple[int, list[tuple[int, int]]]]:
+def with_largest(left: Mapping[int, int], window: int) -> list[tuple[int, int]]:
+    """The same of the combinations that hold the largest length left."""
+    largest = max(left)
+    others = {n: c - (n == largest) for n, c in left.items() if n <= window - largest and c > (n == largest)}
+    taken = dict(fullest(others, window - largest))
+    taken[largest] = taken.get(largest, 0) + 1
+    return sorted(taken.items(), reverse=True)
+
+
+Plan = list[tuple[int, list[tuple[int, int]]]]
+
+
+def plan(counts: Mapping[int, int], window: int, choose: Callable = fullest) -> Plan:
     """(repeats, combination) of all sequences: each the fullest of what the earlier ones leave.
 
     A combination stays the fullest while its lengths last, so it is repeated as often as they do.
     """
     left, out = {n: c for n, c in counts.items() if c}, []
     while left:
-        taken = fullest(left, window)
+        taken = choose(left, window)
         repeats = min(left[length] // copies for length, copies in taken)
         out.append((repeats, taken))
         for length, copies in taken:
@@ -70,6 +83,12 @@ def plan(counts: Mapping[int, int], window: int) -> list[tuple[int, list[tuple[i
     return out
 
 
+def fewest(counts: Mapping[int, int], window: int) -> Plan:
+    """The plan of the fullest combinations, or with the largest length in each if that takes fewer
+    sequences: the fullest alone can leave large pieces that nothing small is left for."""
+    return min((plan(counts, window, c) for c in (fullest, with_largest)), key=lambda p: sum(r for r, _ in p))
+
+
 @dataclass(frozen=True)
 class Slots:
     """For each length the runs of places that go to one repeated combination, in order."""
@@ -81,7 +100,7 @@ class Slots:
     sequences: int
 
     @staticmethod
-    def of(planned: list[tuple[int, list[tuple[int, int]]]]) -> Slots:
+    def of(planned: Plan) -> Slots:
         used: dict[int, int] = {}
         runs, sequence = [], 0
         for repeats, taken in planned:
@@ -166,7 +185,7 @@ def best_fit_packing(
     rest = rows.where(F.col("length") < window)
     counts = rest.groupBy("part", "length").agg(F.count("*").alias("pieces"))
     totals = counts.groupBy("length").agg(F.sum("pieces").alias("pieces")).collect()
-    slots = Slots.of(plan({r["length"]: r["pieces"] for r in totals}, window))
+    slots = Slots.of(fewest({r["length"]: r["pieces"] for r in totals}, window))
     shared = spark.sparkContext.broadcast(slots)
 
     @F.pandas_udf("sequence_id long, offset long")

@@ -34,6 +34,24 @@ def test_every_sequence_is_the_fullest(seed):
             left.subtract(dict(taken))
             assert min(left.values()) >= 0
     assert not +left
+    left = Counter(lengths)
+    for repeats, taken in best_fit.plan(left, window, best_fit.with_largest):
+        for _ in range(repeats):
+            largest = max((+left).elements())
+            left.subtract([largest])
+            rest = best_fill((n for n in left.elements()), window - largest)
+            assert sum(n * c for n, c in taken) == largest + rest and largest in dict(taken)
+            left.subtract(dict(taken))
+            left.update([largest])
+    assert not +left
+
+
+def test_fewer_sequences_where_large_pieces_need_small_ones():
+    counts = {n: 50 for n in range(1, 200)}
+    plain = best_fit.plan(counts, 200)
+    better = best_fit.fewest(counts, 200)
+    assert sum(r for r, _ in better) < sum(r for r, _ in plain)
+    assert sum(r for r, _ in better) <= 1.01 * sum(n * c for n, c in counts.items()) / 200
 
 
 def test_places_are_dealt_once():
@@ -78,7 +96,7 @@ def checked(rows, docs, window, end_id):
         assert at <= window
     left = Counter(r["length"] for r in rows if r["length"] < window)
     fills = sorted(sum(n for _, n in pieces) for pieces in bins.values())
-    planned = [n for k, taken in best_fit.plan(left, window) for n in [sum(a * b for a, b in taken)] * k]
+    planned = [n for k, taken in best_fit.fewest(left, window) for n in [sum(a * b for a, b in taken)] * k]
     assert fills == sorted([window] * sum(r["length"] == window for r in rows) + planned)
 
 
