@@ -36,6 +36,25 @@ SELECT doc_id, n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
 FROM texts LEFT JOIN kept USING (doc_id)"""
 
 
+HARD_NEGATIVES = """
+WITH vectors AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: coalesce(isfinite(x), false))) = len(embedding)),
+scored AS (
+  SELECT a.id AS anchor_id, b.id, a.label = b.label AS alike, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM vectors a JOIN vectors b ON a.id <> b.id WHERE a.id % 50 = 0),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, positive_score, id AS negative_id, score AS negative_score,
+  row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS rank
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT alike AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3"""
+
+
 def literal(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -102,4 +121,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op7_repeated_passages": REPEATED_PASSAGES,
         "op8_line_quality": line_quality_sql(),
+        "op11_hard_negatives": HARD_NEGATIVES,
     }

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opsloom.llm import (
-    best_fit, licenses, line_quality, neighbours, packing, passages, pieces, prefix_trie, secrets, simhash,
-    token_counts, toxicity,
+    best_fit, hard_negatives, licenses, line_quality, neighbours, packing, passages, pieces, prefix_trie, secrets,
+    simhash, token_counts, toxicity,
 )
 from opsloom.llm.common import written
 
@@ -112,6 +112,15 @@ def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    vectors = table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    )
+    return hard_negatives.hard_negatives(vectors, vec_id % 50 == 0)
+
+
 @query
 def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = best_fit.best_fit_packing(
