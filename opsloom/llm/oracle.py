@@ -55,6 +55,52 @@ WHERE NOT alike AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * p
 QUALIFY rank <= 3"""
 
 
+PREFIX_TRIE = """
+WITH turns AS (
+  SELECT conv_id AS c, octet_length(encode(coalesce(text, ''))) AS bytes,
+    md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+      md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+sizes AS (SELECT c, count(*) AS size FROM turns GROUP BY c),
+heads AS (
+  SELECT c, c - c % 5 AS lender, xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(range(length(c::VARCHAR)),
+      lambda i: ord(substring(c::VARCHAR, i + 1, 1))::BIGINT)),
+    lambda crc, b: list_reduce([xor(crc, b), 1, 1, 1, 1, 1, 1, 1, 1]::BIGINT[],
+      lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))) % 9 AS h
+  FROM sizes),
+lent AS (
+  SELECT heads.c, lender, h, least(h, coalesce(size, 0)) AS m
+  FROM heads LEFT JOIN sizes ON sizes.c = heads.lender),
+rebuilt AS (
+  SELECT c, place - h + m AS d, digest, bytes FROM turns JOIN lent USING (c) WHERE place > h
+  UNION ALL
+  SELECT lent.c, place, digest, bytes FROM turns JOIN lent ON turns.c = lent.lender AND place <= m),
+paths AS (
+  SELECT c, d, bytes, string_agg(digest, '') OVER (PARTITION BY c ORDER BY d) AS path FROM rebuilt
+  UNION ALL SELECT c, 0, 0, '' FROM sizes),
+lengths AS (SELECT c, max(d) AS len FROM paths GROUP BY c),
+nodes AS (
+  SELECT path, d, min(c) AS conv_id, count(*) AS n_convs, min(bytes) AS bytes,
+    coalesce(string_agg(CASE WHEN d = len THEN c::VARCHAR END, ',' ORDER BY c), '') AS ends
+  FROM paths JOIN lengths USING (c) GROUP BY path, d),
+counted AS (
+  SELECT n.*, p.conv_id AS parent_conv_id, coalesce(k.n_children, 0) AS n_children
+  FROM nodes n LEFT JOIN nodes p ON n.d > 0 AND p.path = n.path[:-33]
+  LEFT JOIN (SELECT path[:-33] AS path, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1) k
+    ON k.path = n.path),
+above AS (
+  SELECT path AS below, substring(path, 1, 32 * unnest(range(0, d + 1))::INTEGER) AS path FROM counted),
+subtrees AS (
+  SELECT above.path, sum(CASE WHEN b.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves,
+    sum((b.n_convs - 1) * b.bytes) AS saved_tokens
+  FROM above JOIN counted b ON b.path = above.below GROUP BY above.path)
+SELECT conv_id, CAST(d AS BIGINT) AS depth, parent_conv_id, n_convs, n_children,
+  CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(ends) AS ends_sha256
+FROM counted JOIN subtrees USING (path)"""
+
+
 def literal(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -122,4 +168,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_repeated_passages": REPEATED_PASSAGES,
         "op8_line_quality": line_quality_sql(),
         "op11_hard_negatives": HARD_NEGATIVES,
+        "op13_prefix_trie": PREFIX_TRIE,
     }
