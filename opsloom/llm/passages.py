@@ -371,8 +371,17 @@ def earlier_windows(windows: DataFrame, length: int) -> DataFrame:
     )
 
 
+def once(texts: DataFrame) -> DataFrame:
+    """Texts with repeated rows of one id and tag once; copies meet first where they are read."""
+    again = texts.groupBy("id", "tag").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    if again.isEmpty():
+        return texts
+    return written(texts.groupBy("id", "tag").agg(F.min("text").alias("text")), "passages-once")
+
+
 def repeated_spans(texts: DataFrame, length: int, gram: int, crowd: int) -> DataFrame:
     """(id, tag, spans): what to remove from each text, spans as they were found."""
+    texts = once(texts)
     hits = written(sift(find_anchors(texts, length, gram), length, gram), "passage-anchors")
     opened = hits.where(F.col("upto") == 0)
     crowded = written(

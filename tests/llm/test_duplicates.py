@@ -163,6 +163,25 @@ def test_passages_in_small_batches(spark):
     assert {k: got[k] for k in want} == want
 
 
+def test_repeated_rows_whose_grams_stand_elsewhere(spark):
+    draw = random.Random(12)
+    word = lambda n: "".join(draw.choice("abcdefghij ") for _ in range(n))
+    shared = [word(70), word(130), word(99)]
+    texts = [word(300) + shared[i % 3] + word(300) for i in range(12)]
+    rows = [*enumerate(texts)]
+    nameless = [word(200) + texts[1] + word(9), word(200) + texts[0][:90] + word(50)]
+    want = brute([*rows, *enumerate(nameless, 100)])
+    assert want[0][1] == 0 and want[4][1] > 0 and want[100][1] > 600 and want[101][1] == 0
+    again = rows + rows[:5] * 3 + [rows[4]] * 40 + [(None, text) for text in nameless * 3]
+    place = {text: key for key, text in [*rows, *enumerate(nameless, 100)]}
+    for table in (again, again[::-1]):
+        frame = spark.createDataFrame(table, "doc_id long, text string").repartition(4)
+        found = passages.remove_repeats(frame, carry=("text",)).collect()
+        assert len(found) == len(table)
+        for r in found:
+            assert (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) == want[place[r["text"]]]
+
+
 def test_passages_of_rows_that_share_an_id(spark):
     """Repeated rows are one document; other texts of one id are documents of their own."""
     long = " ".join(map(str, range(1000, 1060)))
