@@ -155,9 +155,9 @@ def nearest_neighbours(
     ties go to the smaller id. Every usable row is indexed; the rotation is learned from the
     ``sample`` rows whose ids hash lowest, and ``covered`` is the share of their neighbours that
     the radius must hold. Rows with a null id or an unusable vector (null, zero, with null or
-    non-finite components, or of another length than the sample's first) take no part. A row is
+    non-finite components, or of another length than most vectors have) take no part. A row is
     no neighbour of its own id; other repeated rows count as often as they occur, and of
-    queries with one id one is asked. An empty table gives no rows.
+    queries with one id the least vector is asked. An empty table gives no rows.
     """
     spark = table.sparkSession
     rows = table.where(F.col(id_col).isNotNull() & usable(F.col(vector_col))).select(
@@ -165,16 +165,16 @@ def nearest_neighbours(
         F.col(vector_col).cast("array<double>").alias("vector"),
         F.coalesce(queries, F.lit(False)).alias("asked"),
     )
-    chosen = rows.orderBy(F.xxhash64("id"), "id").limit(sample).select("vector").toPandas()["vector"]
     kind = id_type(table, id_col)
-    if not len(chosen):
+    widths = rows.groupBy(F.size("vector").alias("width")).count().orderBy(F.desc("count"), "width").limit(1).collect()
+    if not widths:
         return spark.createDataFrame([], f"query_id {kind}, rank int, {id_col} {kind}, score double")
-    width = len(chosen[0])
-    learned = np.array([v for v in chosen if len(v) == width])
-    model = learn(learned, bits, rounds, nearest, covered)
+    width = widths[0]["width"]
     rows = rows.where(F.size("vector") == width)
+    chosen = rows.orderBy(F.xxhash64("id"), "id").limit(sample).select("vector").toPandas()["vector"]
+    model = learn(np.array(chosen.tolist()), bits, rounds, nearest, covered)
     stored = written(packed(rows.select("id", "vector"), model, block), "vector-blocks")
-    asked = rows.where("asked").dropDuplicates(["id"]).select("id", "vector")
+    asked = rows.where("asked").groupBy("id").agg(F.min("vector").alias("vector"))
     slots = max(1, stored.count())
     left = stored.withColumn("slot", F.pmod(F.xxhash64("names", "codes"), F.lit(slots)))
     right = packed(asked, model, query_block).select(

@@ -77,6 +77,21 @@ def test_ties_copies_and_unusable_rows(spark):
         assert got[asked] == [(0.0, n) for n in copies]
 
 
+def test_odd_lengths_and_repeated_queries(spark):
+    vectors = clusters(300, 8)
+    for odd in range(300):                       # every vector in turn could lead the sample
+        if odd % 60 == 0:
+            rows = [(n, v[:3] if n == odd else v) for n, v in enumerate(vectors)]
+            rows += [(7, vectors[9]), (20, vectors[11]), (20, [9.0] * 8)]
+            frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+            got = answers(neighbours.nearest_neighbours(frame, F.col("vec_id") % 20 == 0, nearest=5))
+            assert set(got) == {n for n in range(0, 300, 20) if n != odd}
+            least = min(v for n, v in rows if n == 20 and len(v) == 8)
+            want = sorted((math.dist(least, v), n) for n, v in rows if n != 20 and len(v) == 8)[:5]
+            if odd != 20:
+                assert len({n for _, n in got[20]} & {n for _, n in want}) >= 4
+
+
 def test_few_rows_and_none(spark):
     frame = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(4)], "vec_id long, embedding array<double>")
     got = answers(neighbours.nearest_neighbours(frame, F.col("vec_id") < 2))
