@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from opsloom.functions.common import col, shuffle_key, uniform
 from opsloom.functions.corpus import sampling_weight
-from opsloom.operators.ordering import hash_buckets, ranked_by_hash
+from opsloom.operators.selection import first_by_hash
 
 NO_CLASS = "\0"      # stands for null, which is no map key
 
@@ -23,24 +23,23 @@ def balance_classes(df: DataFrame, key: Column | str, label: str = "label",
     Sizes are exact. Which rows stay (or repeat once more) is decided by the hash of ``key``
     and the seed, so the result does not depend on partitioning. Labels outside the named
     classes, and all rows if there is no failure, pass once. ``copy`` numbers the repetitions of a
-    row from 0. The input is read twice, for counts and for rows; write it first if it is costly.
+    row from 0. The input is read several times, for its labels and keys and once whole; write it
+    first if it is costly. Rows do not move.
     """
     keyed = df.withColumn("_order", shuffle_key(col(key), seed))
-    dealt, counts = hash_buckets(keyed, "_order", [label])
-    ranked = ranked_by_hash(dealt, counts, "_order")
-    failed = counts.where(F.col(label).isin(list(failures))).groupBy(label)
-    largest = failed.agg(F.sum("_size").alias("_n")).agg(F.max("_n")).scalar()
-    target = (
-        F.when(largest.isNull(), F.col("_n"))
-        .when(F.col(label) == normal, F.least(F.col("_n"), largest * normal_ratio))
-        .when(F.col(label).isin(list(failures)), largest)
-        .otherwise(F.col("_n"))
-    )
-    sized = ranked.withColumn("_target", target)
-    copies = F.floor(F.col("_target") / F.col("_n")) + F.when(
-        F.col("_rank") < F.col("_target") % F.col("_n"), 1
-    ).otherwise(0)
-    return repeat_rows(sized.withColumn("_copies", copies), "_copies").select(*df.columns, "copy")
+    failed = F.col(label).isin(list(failures))
+    largest = df.where(failed).groupBy(label).agg(F.count("*").alias("_n")).agg(F.max("_n")).first()[0]
+
+    def target(n: Column) -> Column:
+        if largest is None:
+            return n
+        return F.when(F.col(label) == normal, F.least(n, F.lit(largest * normal_ratio))).when(
+            failed, F.lit(largest)
+        ).otherwise(n)
+
+    marked = first_by_hash(keyed, "_order", [label], lambda n: target(n) % n)
+    copies = F.floor(target(F.col("_n")) / F.col("_n")) + F.col("_first").cast("long")
+    return repeat_rows(marked.withColumn("_copies", copies), "_copies").select(*df.columns, "copy")
 
 
 def repeat_rows(df: DataFrame, copies: str, block: int = 65536) -> DataFrame:
@@ -66,11 +65,10 @@ def train_test_split(df: DataFrame, key: str, test_ratio: float = 0.2, seed: int
     ``stratify_by`` the cut is made inside each stratum.
     """
     keyed = df.withColumn("_order", shuffle_key(F.col(key), seed))
-    dealt, counts = hash_buckets(keyed, "_order", stratify_by)
-    ranked = ranked_by_hash(dealt, counts, "_order")
-    cut = F.floor(F.col("_n") * F.lit(1 - test_ratio))
-    part = F.when(F.col("_rank") < cut, "train").otherwise("test")
-    return ranked.select(*df.columns, part.alias("split"))
+    marked = first_by_hash(
+        keyed, "_order", stratify_by, lambda n: F.floor(n * F.lit(1 - test_ratio))
+    )
+    return marked.select(*df.columns, F.when(F.col("_first"), "train").otherwise("test").alias("split"))
 
 
 def oversample_slices(df: DataFrame, suggestions: DataFrame, key: str,

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from opsloom.functions import chats, corpus, rules
 from opsloom.functions.common import computed, first_match, strip
 from opsloom.operators.qa import message
-from opsloom.session import checkpointed
+from opsloom.operators.selection import QUARTILES, exact_quantiles
+from opsloom.session import checkpointed, saved
 
 SLICE_DIMENSIONS = ["iac_type", "license", "size_bucket", "prompt_type"]
 
@@ -376,25 +377,25 @@ def violation_counts(validated: DataFrame) -> DataFrame:
 def length_profile(validated: DataFrame) -> DataFrame:
     """count, min, max, mean and median of prompt, manifest and source lengths of valid records.
 
-    Lengths are bounded integers, so the in-aggregate median holds few distinct values.
+    The records are read once, to count each length, and all figures come from those counts.
     """
     measured = {
         "prompt_length": F.char_length("prompt"), "manifest_length": F.char_length("manifest"),
         "source_size": F.coalesce(F.col("source_size"), F.lit(0)),
     }
-    aggs, rows = [], []
-    for name, value in measured.items():
-        value = value.cast("bigint")
-        aggs += [F.count(value).alias(f"{name}_count"), F.min(value).alias(f"{name}_min"),
-                 F.max(value).alias(f"{name}_max"),
-                 F.round(F.avg(value), 1).alias(f"{name}_mean"),
-                 F.percentile(value, F.lit(0.5)).alias(f"{name}_median")]
-        rows.append(F.struct(
-            F.lit(name).alias("measure"),
-            *[F.col(f"{name}_{m}").alias(m) for m in ("count", "min", "max", "mean", "median")],
-        ))
-    row = validated.filter(F.array_size("violations") == 0).agg(*aggs)
-    return row.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    counted = saved(validated.filter(F.array_size("violations") == 0).select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("measure"), value.cast("bigint").alias("value")) for name, value in measured.items()
+    ]))).groupBy("measure", "value").agg(F.count("*").alias("rows")), "record-lengths")
+    known = F.sum(F.when(F.col("value").isNotNull(), F.col("rows")))
+    figures = counted.groupBy("measure").agg(
+        F.coalesce(known, F.lit(0)).alias("count"), F.min("value").alias("min"), F.max("value").alias("max"),
+        F.round(F.sum(F.col("value") * F.col("rows")) / known, 1).alias("mean"),
+    )
+    medians = exact_quantiles(counted, ["value"], {"median": QUARTILES["median"]}, ["measure"], "rows")
+    names = validated.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, measured))).alias("measure"))
+    return names.join(figures, "measure", "left").join(
+        medians.select("measure", "median"), "measure", "left"
+    ).withColumn("count", F.coalesce("count", F.lit(0)))
 
 
 def validation_report(validated: DataFrame) -> DataFrame:

@@ -1,8 +1,8 @@
-"""Positions and exact quantiles of a globally ordered table, without a one-task window."""
+"""Positions in a globally ordered table, without a one-task window."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -87,85 +87,3 @@ def _with_group_offset(placed: DataFrame, group: Sequence[str], amount: Column)
         F.sum("_total").over(Window.partitionBy("_group")).alias("_all"),
     )
     return keyed.join(offsets, ["_part", "_group"])
-
-
-def hash_buckets(df: DataFrame, order: str, group: Sequence[str] = (), digits: int = 4
-                 ) -> tuple[DataFrame, DataFrame]:
-    """``df`` with its ``_group`` and the ``_bucket`` of its hash, and how many rows each has."""
-    named = F.to_json(F.struct(*group), {"ignoreNullFields": "false"}) if group else F.lit("")
-    keyed = df.withColumns({"_group": named, "_bucket": F.left(F.col(order), F.lit(digits))})
-    return keyed, keyed.groupBy(*group, "_group", "_bucket").agg(F.count("*").alias("_size"))
-
-
-def ranked_by_hash(keyed: DataFrame, counts: DataFrame, order: str) -> DataFrame:
-    """Add ``_rank``, the 0-based place of each row in its group by ``order``, and ``_n``, the
-    group's size, and ``_group``, its name; nothing is sorted as a whole.
-
-    Both frames come from ``hash_buckets``. The rows of a group are dealt by the first digits of
-    their hash, so also one class of all rows lies in very many buckets; the counts say how many
-    rows lie before each. Rows of one hash are told apart by their content.
-    """
-    bucket = ["_group", "_bucket"]
-    earlier = Window.partitionBy("_group").orderBy("_bucket").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    places = counts.select(
-        *bucket, F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"),
-        F.sum("_size").over(Window.partitionBy("_group")).alias("_n"),
-    )
-    tie = F.xxhash64(*keyed.columns)
-    within = F.row_number().over(Window.partitionBy(*bucket).orderBy(order, tie)) - 1
-    ranked = keyed.withColumn("_in", within).join(places, bucket)
-    return ranked.withColumn("_rank", F.col("_before") + F.col("_in")).drop(
-        "_bucket", "_before", "_in"
-    )
-
-
-QUARTILES = {"q25": (0.25, "nearest"), "median": (0.5, "linear"), "q75": (0.75, "nearest")}
-
-
-def exact_quantiles(df: DataFrame, columns: Sequence[str],
-                    quantiles: Mapping[str, tuple[float, str]] = QUARTILES,
-                    by: Sequence[str] = ()) -> DataFrame:
-    """Exact quantiles of numeric columns, per group: (by..., column, n, one per quantile).
-
-    Values are first counted (map-side combined), then the counts are accumulated along the
-    range-partitioned order, so neither a hot value nor a large group meets in one task.
-    ``quantiles`` names (probability, method) pairs: ``nearest`` takes the value at the rounded
-    rank (n - 1) * p, ``linear`` interpolates between its neighbours. Nulls are left out.
-    """
-    long = df.select(
-        *by, F.explode(F.array(*[
-            F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
-            for c in columns
-        ])).alias("_v"),
-    ).select(*by, "_v.column", "_v.value")
-    counted = (
-        long.filter(F.col("value").isNotNull())
-        .groupBy(*by, "column", "value").agg(F.count("*").alias("_w"))
-    )
-    group = [*by, "column"]
-    placed = _with_group_offset(_placed(counted, [*group, "value"]), group, F.col("_w"))
-    within = Window.partitionBy("_part", "_group").orderBy("_pos").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    end = F.col("_before") + F.sum("_w").over(within)
-    rows = placed.withColumn("end", end).select(
-        *group, "value", F.col("_all").alias("n"), (F.col("end") - F.col("_w")).alias("start"), "end"
-    )
-    picks = [F.max("n").alias("n")]
-    for name, (p, method) in quantiles.items():
-        place = (F.col("n") - 1) * F.lit(float(p))
-        ranks = (
-            [F.floor(place + 0.5)] if method == "nearest" else [F.floor(place), F.ceil(place)]
-        )
-        held = [
-            F.max(F.when((F.col("start") <= r) & (r < F.col("end")), F.col("value")))
-            for r in ranks
-        ]
-        if method == "nearest":
-            picks.append(held[0].alias(name))
-        else:
-            share = F.max(place - F.floor(place))
-            picks.append((held[0] + (held[1] - held[0]) * share).alias(name))
-    return rows.groupBy(*group).agg(*picks)

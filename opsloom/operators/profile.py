@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opsloom.operators.ordering import exact_quantiles
+from opsloom.operators.selection import exact_quantiles
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from opsloom.functions import rules, text
 from opsloom.functions.common import computed, strip
 from opsloom.operators import quality
-from opsloom.operators.ordering import QUARTILES, exact_quantiles
 from opsloom.operators.profile import numeric_profile, top_list_values
-from opsloom.session import checkpointed
+from opsloom.operators.selection import QUARTILES, exact_quantiles
+from opsloom.session import checkpointed, saved
 
 NUMERIC_COLUMNS = ["score", "answer_score", "view_count", "quality_score"]
 
@@ -280,18 +280,23 @@ def check_text_quality(df: DataFrame, short_question: int = 50, short_answer: in
                        max_short: float = 0.1) -> DataFrame:
     """Byte-length statistics of the bodies and a warning when too many are short.
 
-    The median of lengths stays an in-aggregate percentile: its state holds one entry per
-    distinct length, which the text sizes bound.
+    The rows are read once, to count each length, and all figures come from those counts.
     """
     sides = {"question": ("question_body", short_question), "answer": ("answer_body", short_answer)}
-    aggs = [F.count("*").alias("rows")]
-    for side, (column, limit) in sides.items():
-        size = F.octet_length(column)
+    counted = saved(df.select(F.inline(F.array(*[
+        F.struct(F.lit(side).alias("side"), F.octet_length(column).cast("long").alias("size"))
+        for side, (column, _) in sides.items()
+    ]))).groupBy("side", "size").agg(F.count("*").alias("rows")), "text-lengths")
+    medians = exact_quantiles(counted, ["size"], {"median": QUARTILES["median"]}, ["side"], "rows")
+    aggs = [F.coalesce(F.sum(F.when(F.col("side") == "question", F.col("rows"))), F.lit(0)).alias("rows")]
+    for side, (_, limit) in sides.items():
+        size, rows = (F.when(F.col("side") == side, F.col(c)) for c in ("size", "rows"))
+        known = F.sum(F.when(size.isNotNull(), rows))
         aggs += [
             F.min(size).alias(f"{side}_min"), F.max(size).alias(f"{side}_max"),
-            F.avg(size).alias(f"{side}_mean"),
-            F.percentile(size, F.lit(0.5)).alias(f"{side}_median"),
-            F.count_if(size < limit).alias(f"{side}_short"),
+            (F.sum(size * rows) / known).alias(f"{side}_mean"),
+            medians.where(F.col("side") == side).select("median").scalar().alias(f"{side}_median"),
+            F.coalesce(F.sum(F.when(size < limit, rows)), F.lit(0)).alias(f"{side}_short"),
         ]
     entries = []
     for side in sides:
@@ -302,7 +307,7 @@ def check_text_quality(df: DataFrame, short_question: int = 50, short_answer: in
         entries.append(
             (f"{side}_short_texts", F.when(many, "warn").otherwise(quiet), F.col(f"{side}_short"))
         )
-    return _report(df.agg(*aggs), entries)
+    return _report(counted.agg(*aggs), entries)
 
 
 def check_feature_distribution(df: DataFrame, min_tags: int = 3) -> DataFrame:

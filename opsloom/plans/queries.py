@@ -17,7 +17,7 @@ from opsloom.functions import logs as log_columns
 from opsloom.functions import rules, text
 from opsloom.functions import traces as trace_columns
 from opsloom.operators import (
-    alerts, balance, chats, combine, corpus, logs, ordering, profile, qa, quality, sequences,
+    alerts, balance, chats, combine, corpus, logs, profile, qa, quality, selection, sequences,
     traces, workflows,
 )
 from opsloom.plans.bindings import Tables
@@ -1380,7 +1380,7 @@ def k10_imbalances(t: Tables) -> DataFrame:
 
 @query
 def x1_exact_quantiles(t: Tables) -> DataFrame:
-    return ordering.exact_quantiles(
+    return selection.exact_quantiles(
         t.read("lineitem"), ["l_extendedprice"],
         {"nearest90": (0.9, "nearest"), "linear90": (0.9, "linear")}, by=["l_returnflag"],
     ).select("l_returnflag", "column", "n", "nearest90", F.round("linear90", 4).alias("linear90"))

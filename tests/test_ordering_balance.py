@@ -1,12 +1,16 @@
 """Ordering, quantiles, balancing and splitting, also with a key that holds most rows."""
 
+import hashlib
+import math
+import struct
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from opsloom.operators import balance, ordering, traces
+from opsloom.operators import balance, ordering, selection, traces
 from opsloom.operators.corpus import first_by_key
 
 
@@ -45,7 +49,7 @@ def test_copies_are_spread_over_partitions(spark, skewed):
 
 def test_exact_quantiles_match_numpy(skewed):
     values = np.array([r["v"] for r in skewed.collect()], dtype=float)
-    row = ordering.exact_quantiles(skewed, ["v"], {
+    row = selection.exact_quantiles(skewed, ["v"], {
         "lin": (0.37, "linear"), "near": (0.37, "nearest"), "med": (0.5, "linear"),
         "top": (1.0, "nearest"), "low": (0.0, "linear"),
     }).collect()[0]
@@ -59,7 +63,7 @@ def test_quantiles_per_group_leave_out_nulls(spark):
     frame = spark.createDataFrame(
         [("a", 1.0), ("a", 2.0), ("a", None), ("b", 5.0), (None, 7.0)], "g string, x double")
     out = {r["g"]: (r["n"], r["median"])
-           for r in ordering.exact_quantiles(frame, ["x"], by=["g"]).collect()}
+           for r in selection.exact_quantiles(frame, ["x"], by=["g"]).collect()}
     assert out == {"a": (2, 1.5), "b": (1, 5.0), None: (1, 7.0)}
 
 
@@ -67,7 +71,7 @@ def test_quantiles_per_group_leave_out_nulls(spark):
 @given(st.lists(st.integers(-5, 5), min_size=1, max_size=60))
 def test_quantiles_of_any_list(spark, values):
     frame = spark.createDataFrame([(v,) for v in values], "x int")
-    row = ordering.exact_quantiles(frame, ["x"], {"m": (0.5, "linear")}).collect()[0]
+    row = selection.exact_quantiles(frame, ["x"], {"m": (0.5, "linear")}).collect()[0]
     assert row["m"] == np.median(values)
 
 
@@ -186,19 +190,82 @@ def plan_of(frame):
         frame.sparkSession.conf.unset("spark.sql.adaptive.enabled")
 
 
-def test_balancing_neither_sorts_the_table_nor_deals_rows_by_class(spark):
+def moved(frame):
+    """Exchanges of the plan that are no broadcast."""
+    return [line for line in plan_of(frame).splitlines() if "Exchange " in line and "BroadcastExchange" not in line]
+
+
+def test_balancing_and_splitting_move_no_rows(spark):
     rows = spark.range(6000).select(
         "id", F.when(F.col("id") % 100 == 0, F.col("id") % 3).otherwise(0).alias("label")
     )
-    plan = plan_of(balance.balance_classes(rows, "id"))
-    assert "rangepartitioning" not in plan
-    assert "SortMergeJoin [label" not in plan and "BroadcastHashJoin [label" not in plan
-    windows = [line for line in plan.splitlines() if "Window [" in line and "row_number" in line]
-    assert windows and all("_bucket" in line for line in windows)
-    sizes = dict(balance.balance_classes(rows, "id").groupBy("label").count().collect())
+    balanced = balance.balance_classes(rows, "id")
+    assert moved(balanced) == [] and "Sort" not in plan_of(balanced)
+    sizes = dict(balanced.groupBy("label").count().collect())
     had = dict(rows.groupBy("label").count().collect())
     largest = max(n for label, n in had.items() if label)
     assert sizes == {label: min(n, 3 * largest) if label == 0 else largest for label, n in had.items()}
+    assert moved(balance.train_test_split(rows, "id", 0.2)) == []
+    assert moved(balance.train_test_split(rows, "id", 0.2, stratify_by=["label"])) == []
+
+
+def test_split_takes_the_first_hashes(spark):
+    rows = spark.range(500).withColumn("k", F.col("id") % 7)
+    out = balance.train_test_split(rows, "id", 0.3, 5, stratify_by=["k"]).collect()
+    for k in range(7):
+        order = sorted((hashlib.md5(f"{r['id']}:5".encode()).hexdigest(), r["split"]) for r in out if r["k"] == k)
+        cut = int(len(order) * 0.7)
+        assert [s for _, s in order] == ["train"] * cut + ["test"] * (len(order) - cut)
+
+
+def test_copies_at_the_cut_are_dealt_exactly(spark):
+    rows = spark.createDataFrame([("hot", i % 3) for i in range(3000)] + [("x", 5)] * 10, "k string, v int").repartition(4)
+    for ratio in (0.2, 0.5, 0.9):
+        out = balance.train_test_split(rows, "k", ratio)
+        sizes = dict(out.groupBy("split").count().collect())
+        assert sizes == {"train": int(3010 * (1 - ratio)), "test": 3010 - int(3010 * (1 - ratio))}
+    again = [sorted(map(tuple, balance.train_test_split(rows.repartition(n), "k", 0.5).collect())) for n in (2, 7)]
+    assert again[0] == again[1]
+
+
+EDGES = [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.7976931348623157e308, math.inf,
+         -math.inf, 1.0, 0.9999999999999999, 1.0000000000000002, 8.0, 7.999999999999999, 0.1, 1e22, 2.0 ** -1000]
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.floats(allow_nan=False), min_size=1, max_size=200))
+def test_image_keeps_bits_and_order(spark, values):
+    values = [*values, *EDGES, *[2.0 ** e for e in range(-60, 60)], *[math.nextafter(2.0 ** e, 0) for e in range(-60, 60)]]
+    frame = spark.createDataFrame([(v,) for v in values], "x double").withColumn("image", selection.order_image(F.col("x")))
+    for x, image, back in frame.withColumn("back", selection.double_of(F.col("image"))).collect():
+        bits = struct.unpack("<q", struct.pack("<d", abs(x)))[0]
+        assert image == (-bits if x < 0 else bits) and back == x
+    nan = spark.createDataFrame([(math.nan,)], "x double").select(selection.order_image(F.col("x"))).first()[0]
+    assert nan > frame.agg(F.max("image")).first()[0]
+
+
+def test_quantiles_neither_sort_nor_checkpoint(spark, monkeypatch):
+    draw = np.random.default_rng(2)
+    values = np.concatenate([draw.lognormal(0, 3, 9000), -draw.lognormal(0, 2, 4000), np.repeat(3.25, 9000)])
+    frame = spark.createDataFrame([(float(v), int(i % 2)) for i, v in enumerate(values)], "x double, g int")
+    monkeypatch.setattr(type(frame), "checkpoint", None)
+    monkeypatch.setattr(selection, "FEW", 50)
+    for by in ([], ["g"]):
+        out = selection.exact_quantiles(frame, ["x"], {
+            "q1": (0.01, "linear"), "median": (0.5, "linear"), "q90": (0.9, "nearest"),
+        }, by=by)
+        assert "rangepartitioning" not in plan_of(out)
+        for row in out.collect():
+            own = np.sort(values[np.arange(len(values)) % 2 == row["g"]] if by else values)
+            assert row["n"] == len(own) and row["median"] == np.median(own)
+            assert row["q1"] == pytest.approx(np.quantile(own, 0.01), rel=1e-12)
+            assert row["q90"] == own[int(np.floor(0.9 * (len(own) - 1) + 0.5))]
+
+
+def test_weighted_quantiles(spark):
+    frame = spark.createDataFrame([("a", 5, 3), ("a", 1, 1), ("a", 9, 10_000_000_000), ("b", 2, 1), ("b", 4, 1)], "g string, x int, w long")
+    out = {r["g"]: (r["n"], r["median"]) for r in selection.exact_quantiles(frame, ["x"], by=["g"], weight="w").collect()}
+    assert out == {"a": (10_000_000_004, 9.0), "b": (2, 3.0)}
 
 
 def test_unknown_labels_pass_once(spark):
