@@ -2,34 +2,18 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from opsloom.functions import rules
 from opsloom.functions.common import NON_SPACES, col, first_match, squeeze
-
-
-def _unescape(text: Column) -> Column:
-    # nested, so that the function itself travels to the executors and they need no package
-    def decode(values: pd.Series) -> pd.Series:
-        import html
-
-        return values.map(html.unescape, na_action="ignore")
-
-    return F.pandas_udf(decode, StringType())(text)
+from opsloom.functions.entities import unescape
 
 
 def clean_html(text: Column | str) -> Column:
-    """Tags become spaces, entities are decoded, whitespace is squeezed; null becomes ''.
-
-    The full entity table is only in Python, so texts holding an ampersand, and no others,
-    travel to an Arrow UDF.
-    """
+    """Tags become spaces, entities are decoded, whitespace is squeezed; null becomes ''."""
     stripped = F.regexp_replace(F.coalesce(col(text), F.lit("")), "<[^>]+>", " ")
-    decoded = _unescape(F.when(stripped.contains("&"), stripped))
-    return squeeze(F.coalesce(decoded, stripped))
+    return squeeze(unescape(stripped))
 
 
 def tag_list(tags: Column | str) -> Column:

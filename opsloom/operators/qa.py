@@ -177,23 +177,32 @@ def rank_by_quality(features: DataFrame) -> DataFrame:
     return features.orderBy(F.desc("quality_score"), "question_id")
 
 
-def match_yield(questions: DataFrame, pairs: DataFrame) -> DataFrame:
-    """One row: questions loaded and answers matched."""
-    matched = pairs.agg(F.count("*")).scalar()
-    return questions.agg(F.count("*").alias("questions_loaded")).withColumn(
-        "answers_matched", matched
-    )
-
-
-def feature_yield(pairs: DataFrame, features: DataFrame) -> DataFrame:
-    """One row: pairs in, records out, records filtered, average quality."""
-    kept = features.agg(
-        F.struct(F.count("*").alias("n"), F.avg("quality_score").alias("q"))
-    ).scalar()
-    return pairs.agg(F.count("*").alias("input_records")).select(
-        "input_records", kept.getField("n").alias("output_records"),
-        (F.col("input_records") - kept.getField("n")).alias("filtered_count"),
-        kept.getField("q").alias("avg_quality_score"),
+def pipeline_yield(questions: DataFrame, answers: DataFrame) -> DataFrame:
+    """One row: questions loaded, answers matched, records out, records filtered, average quality.
+
+    The rows of one outer join carry all figures, so each source is read once. Questions without
+    an answer count as loaded only.
+    """
+    renamed = answers.select(
+        "question_id", F.struct(F.col("body"), F.col("score")).alias("_answer")
+    )
+    joined = questions.join(renamed, "question_id", "left")
+    pairs = joined.select(
+        *_pair_columns(F.col("_answer.body"), F.col("_answer.score")),
+        F.col("_answer").isNotNull().alias("_matched"),
+    )
+    marked = computed(pairs, _kept=F.col("_matched") & admitted())
+    quality = F.when(F.col("_kept"), text.quality_score(
+        *[F.coalesce(F.col(c), F.lit(0)) for c in ("score", "answer_score", "view_count")],
+        F.col("question_body"), F.col("answer_body"),
+    ))
+    return marked.agg(
+        F.count("*").alias("questions_loaded"),
+        F.count_if("_matched").alias("answers_matched"),
+        F.count_if("_matched").alias("input_records"),
+        F.count_if("_kept").alias("output_records"),
+        (F.count_if("_matched") - F.count_if("_kept")).alias("filtered_count"),
+        F.avg(quality).alias("avg_quality_score"),
     )
 
 

@@ -515,15 +515,10 @@ def d30_parse_quality(t: Tables) -> DataFrame:
 
 @query
 def d31_yields(t: Tables) -> DataFrame:
-    questions, pairs = qa.clean_questions(t.questions()), t.pairs()
-    row = qa.feature_yield(pairs, qa.qa_features(pairs))
-    matched = qa.match_yield(questions, pairs)
-    return row.select(
-        "input_records", "output_records", "filtered_count",
-        F.round("avg_quality_score", 4).alias("avg_quality_score"),
-        matched.select("questions_loaded").scalar().alias("questions_loaded"),
-        matched.select("answers_matched").scalar().alias("answers_matched"),
+    row = qa.pipeline_yield(
+        qa.clean_questions(t.questions()), qa.clean_answers(t.answers(), "row_order")
     )
+    return row.withColumn("avg_quality_score", F.round("avg_quality_score", 4))
 
 
 # --- E: windows, ranking, dedup, split --------------------------------------------------------
