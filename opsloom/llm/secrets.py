@@ -48,7 +48,15 @@ WRAPPED = re.compile(
 )
 LINE = re.compile(r"[A-Za-z0-9+/_-]+")
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-UNICODE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})")
+UNICODE = re.compile(
+    r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|\\([nrt/\"])"
+)
+SHORT_ESCAPES = {"n": "\n", "r": "\r", "t": "\t"}
+# what may hold a secret of 14 characters in data that is not clean text: ASCII of one or two bytes a character
+PRINTABLE = (
+    (re.compile(rb"[\t\n\r\x20-\x7e]{14,}"), 1),
+    (re.compile(rb"(?:[\t\n\r\x20-\x7e]\x00){14,}[\t\n\r\x20-\x7e]?|(?:\x00[\t\n\r\x20-\x7e]){14,}"), 2),
+)
 OPENERS = ((b"\x1f\x8b", "gzip"), (b"BZh", "bz2"), (b"\xfd7zXZ\x00", "xz"))
 WINDOW, CHUNK_BYTES = 64 << 20, 1 << 20
 TOTAL_BYTES = 4 << 30
@@ -125,6 +133,8 @@ def url_pieces(match: re.Match) -> list[tuple[str, int, int]]:
 
 
 def unicode_pieces(match: re.Match) -> list[tuple[str, int, int]] | None:
+    if match[5]:
+        return [(SHORT_ESCAPES.get(match[5], match[5]), 0, 2)]
     point = int(next(g for g in match.groups() if g), 16)
     if point > 0x10FFFF or 0xD800 <= point < 0xE000:
         return None
@@ -245,6 +255,17 @@ def readable(data: bytes) -> str | None:
     return None if re.search(r"[\x00-\x08\x0e-\x1f\x7f]", text) else text
 
 
+def printable_parts(data: bytes) -> Iterator[tuple[str, np.ndarray, int]]:
+    """Runs of printable ASCII in binary data: text, the place of each character, bytes a character.
+
+    Secrets are ASCII, so data in Latin-1, UTF-16 or with stray control characters loses none.
+    """
+    for pattern, width in PRINTABLE:
+        for run in pattern.finditer(data):
+            content = run[0][run[0].startswith(b"\0")::width]
+            yield content.decode("ascii"), run.start() + width * np.arange(len(content)), width
+
+
 def wrapped_runs(text: str) -> Iterator[list[tuple[int, int]]]:
     """Spans of the lines of base64 that is wrapped over two or more lines.
 
@@ -306,15 +327,19 @@ def base64_layers(layer: Layer, scan: Scan) -> Iterator[tuple[Layer, bool]]:
         if whole:
             insort(taken, (int(places[0]), stop))
             continue
+        # three bytes come from four digits
+        def placed(text: str, at: np.ndarray, end: np.ndarray) -> Layer:
+            last = np.minimum(-(-end * 4 // 3), len(digits)) - 1
+            return Layer(text, layer.begins[places[at * 4 // 3]], layer.ends[places[last]])  # noqa: B023
+
         text = readable(data)
         if text is None:
+            for text, at, width in printable_parts(data):
+                yield placed(text, at, at + width), False
             continue
-        # three bytes come from four digits
         sizes = np.array([len(c.encode()) for c in text], dtype=np.int64)
         end = np.cumsum(sizes)
-        first = (end - sizes) * 4 // 3
-        last = np.minimum(-(-end * 4 // 3), len(digits)) - 1
-        yield Layer(text, layer.begins[places[first]], layer.ends[places[last]]), False
+        yield placed(text, end - sizes, end), False
 
 
 def deeper(layer: Layer, scan: Scan) -> Iterator[tuple[Layer, bool]]:
@@ -378,6 +403,8 @@ def scan_secrets(
     are not read. A layer that unpacks to more than 64 MiB is scanned in windows. ``complete`` is
     false where a document unpacks to more than 4 GiB, where such a layer holds an unbroken word
     of over half a window, and where a layer is left out because it unpacks to more than ``most``.
+    Base64 data that is not clean UTF-8 text is searched in its runs of printable ASCII, of one byte or
+    two bytes a character; JSON escapes are undone like Unicode ones.
     """
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
     names = [id_col, "plain", "spans", "masked", "complete"]
