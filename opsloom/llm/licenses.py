@@ -9,7 +9,7 @@ are rarest in the text: a match may lack some words, but not all of that many.
 from __future__ import annotations
 
 import re
-from bisect import bisect_left, bisect_right
+from bisect import bisect_left, bisect_right, insort
 from collections import Counter
 from collections.abc import Iterator
 from functools import cache
@@ -163,12 +163,14 @@ def best_apart(hits: dict[tuple[int, int], float]) -> list[tuple[int, int, float
 
 def closest(found: list[tuple[str, float, int, int]], sizes: dict[str, int]) -> list[tuple[str, float, int, int]]:
     """Without hits of like templates: of two that share over half of both spans the one that aligns more."""
-    out: list[tuple[str, float, int, int]] = []
-    for hit in sorted(found, key=lambda h: (-round(h[1] * sizes[h[0]]), -h[1], h[0])):
-        shared = lambda o: 2 * (min(o[3], hit[3]) - max(o[2], hit[2]))  # noqa: E731, B023
-        if all(o[0] == hit[0] or shared(o) <= max(o[3] - o[2], hit[3] - hit[2]) for o in out):
-            out.append(hit)
-    return out
+    out: list[tuple[int, int, str, float]] = []     # by start
+    for name, cover, start, end in sorted(found, key=lambda h: (-round(h[1] * sizes[h[0]]), -h[1], h[0], h[2:])):
+        size = end - start
+        # over half of both is shared: the starts are less than this hit's size apart
+        near = out[bisect_left(out, (start - size,)):bisect_left(out, (end,))]
+        if all(o[2] == name or 2 * (min(o[1], end) - max(o[0], start)) <= max(o[1] - o[0], size) for o in near):
+            insort(out, (start, end, name, cover))
+    return [(name, cover, start, end) for start, end, name, cover in out]
 
 
 def scan(text: str, templates: dict[str, list[str]], least: float) -> list[tuple[str, float, int, int]]:

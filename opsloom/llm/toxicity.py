@@ -192,8 +192,10 @@ def fit_toxicity(
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     rows = (
         texts.join(F.broadcast(chosen), "id").where(F.col("text").isNotNull())
+        .groupBy("id", "label")
+        .agg(F.min(F.struct(F.xxhash64("text").alias("order"), "text")).getField("text").alias("text"))
         .mapInPandas(features, "id string, label int, bag binary, before array<binary>, after array<binary>")
-        .toPandas().sort_values(["id", "bag"]).drop_duplicates("id")
+        .toPandas().sort_values("id")
     )
     read = lambda content: np.frombuffer(content, dtype=np.uint32)
     pairs = [
