@@ -221,3 +221,26 @@ CALL_THRESHOLDS = {
     "malformed_rate": 0.05, "none_complexity_rate": 0.60, "record_count": 3000,
     "avg_turns": 10.0, "avg_calls": 5.0, "defined_functions_coverage": 0.30,
 }
+# The step schema of generated workflows as a JSON Schema document; whole numbers may be text.
+WORKFLOW_SCHEMA = {
+    "type": "object", "required": ["steps"],
+    "properties": {"steps": {"type": "array", "items": {"$ref": "#/$defs/step"}}},
+    "$defs": {
+        "step": {
+            "type": "object", "required": ["step_id", "tool", "params"],
+            "properties": {
+                "step_id": {"$ref": "#/$defs/whole"}, "tool": {"type": "string"},
+                "params": {
+                    "type": "object", "additionalProperties": False,
+                    "properties": {
+                        "deployment": {"type": ["string", "null"]}, "pod": {"type": ["string", "null"]},
+                        "replicas": {"anyOf": [{"type": "null"}, {"$ref": "#/$defs/whole"}]},
+                    },
+                },
+            },
+        },
+        "whole": {"anyOf": [
+            {"type": ["integer", "boolean"]}, {"type": "string", "pattern": r"^[+-]?\d+(\.0+)?$"},
+        ]},
+    },
+}
