@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from opsloom.functions import chats, corpus, rules
+from opsloom.functions import chats, corpus, matcher, rules
 from opsloom.functions.common import computed, first_match, strip
 from opsloom.operators.qa import message
 from opsloom.operators.selection import QUARTILES, exact_quantiles
@@ -154,16 +154,22 @@ def drop_counts(judged: DataFrame) -> DataFrame:
 
 # --- analysis ----------------------------------------------------------------------------
 
-def keyword_totals(files: DataFrame, top: int = 15) -> DataFrame:
+def keyword_totals(files: DataFrame, top: int = 15, one_pass: bool = False) -> DataFrame:
     """Occurrences of every taxonomy word, the ``top`` of each category.
 
-    One sum per word over the texts; nothing is exploded.
+    One sum per word over the texts; nothing is exploded. By default each word is searched by a
+    native expression, which needs no Python worker; ``one_pass`` finds all words in one reading of
+    a text, at a cost that does not grow with their number.
     """
     content = F.coalesce(F.col("content"), F.lit(""))
     words = [(cat, w) for cat, ws in rules.CORPUS_KEYWORDS.items() for w in ws]
-    row = files.agg(*[
-        F.sum(corpus.keyword_count(content, w)).alias(f"k{i}") for i, (_, w) in enumerate(words)
-    ])
+    if one_pass:
+        counted = files.select(matcher.word_counts(content, [w for _, w in words]).alias("n"))
+        row = counted.agg(*[F.sum(F.col("n")[i]).alias(f"k{i}") for i in range(len(words))])
+    else:
+        row = files.agg(*[
+            F.sum(corpus.keyword_count(content, w)).alias(f"k{i}") for i, (_, w) in enumerate(words)
+        ])
     by_category = {}
     for i, (category, word) in enumerate(words):
         by_category.setdefault(category, []).append(F.struct(

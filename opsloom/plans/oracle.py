@@ -553,6 +553,7 @@ def _oracles() -> dict[str, str]:
     q["a4_answers_csv"] = using(
         "SELECT question_id, answer_id, md5(body) AS body_md5, score FROM ans", "ans")
     q["a5_json_document"] = customer
+    q["a5_split_json_array"] = """SELECT c_custkey, c_name || ' }"{ \\ [' AS c_name, c_acctbal FROM customer"""
     q["a6_json_lines"] = customer + " WHERE c_custkey % 7 <> 0"
     q["a7_checked_json_lines"] = """SELECT count(*) AS total,
   count(*) FILTER (c_custkey % 7 <> 0) AS valid,
@@ -613,6 +614,10 @@ def _oracles() -> dict[str, str]:
   WHERE event_id NOT IN (SELECT EventId FROM templates)""", "templates", "unified")
     q["c6_unprocessed_prompts"] = using(
         "SELECT id FROM prompts WHERE id % 3 <> 0 AND id % 5 <> 0", "prompts")
+    q["c6_committed_marks"] = using("""SELECT id,
+  (SELECT count(DISTINCT id) FROM prompts WHERE id % 3 = 0) AS first_changed,
+  (SELECT count(DISTINCT id) FROM prompts WHERE id % 5 = 0 AND id % 3 <> 0) AS second_changed
+  FROM prompts WHERE id % 3 <> 0 AND id % 5 <> 0""", "prompts")
     q["c7_pair_workflows"] = using("""SELECT id, tool_context, workflow_json FROM prompts
   WHERE workflow_json IS NOT NULL""", "prompts")
     q["c8_rows_of_top_values"] = using("""SELECT task_type, count(*) AS count FROM tasks
@@ -708,6 +713,7 @@ FROM (SELECT system, event_type, count(*) AS n, count(*) FILTER (severity = 'ERR
         f"SELECT '{cat}' AS category, '{w}' AS keyword, CAST(sum("
         f"{count_matches('c', '(?i)' + w.replace('.', chr(92) + '.'))}) AS BIGINT) AS hits FROM files"
         for cat, w in hits) + ") WHERE hits > 0", "files")
+    q["d17_one_pass_totals"] = q["d17_keyword_totals"]
     q["d18_license_counts"] = using("""SELECT lower(x) AS license, count(*) AS count FROM (
   SELECT unnest(max_stars_repo_licenses) AS x FROM files) GROUP BY 1
   ORDER BY count DESC, license LIMIT 15""", "files")
@@ -948,6 +954,7 @@ FROM call_features f LEFT JOIN call_facts c0 ON f.id = c0.id AND c0.position = 0
     good = ", ".join(str(i) for i in b.VALID_WORKFLOWS)
     q["g43_workflow_valid"] = using(
         f"SELECT id, wf IN ({good}) AS workflow_valid FROM prompts", "prompts")
+    q["g43_json_schema"] = q["g43_workflow_valid"]
 
     # H
     q["h1_balance_classes"] = using("""SELECT key, CAST(label AS BIGINT) AS label,
@@ -1022,6 +1029,10 @@ SELECT question_id, CAST(1 + 2 * count(slice) AS BIGINT) AS copies FROM features
         "values_in_set_o_orderstatus": "count(*) FILTER (o_orderstatus NOT IN ('O', 'F'))",
         "row_count_range": "0 * count(*)",
         "range_o_totalprice": "count(*) FILTER (o_totalprice < 0 OR o_totalprice > 100000)"})
+    q["i10_record_schemas"] = """SELECT o_orderkey, o_orderkey % 11 <> 0
+  AND o_orderstatus IN ('O', 'F') AND o_totalprice <= 200000 AS plain,
+  o_orderkey % 11 <> 0 AND o_orderkey % 5 <> 0 AND o_orderkey % 3 <> 0 AND o_custkey > 0
+  AND o_orderstatus IN ('O', 'F', 'P') AS strict FROM orders"""
     q["i11_sequence_errors"] = using("""SELECT key, 'invalid label' AS error FROM sequences
   WHERE label = 4 UNION ALL SELECT key, 'sequence_ids is empty' FROM sequences
   WHERE label = 3""", "sequences")
@@ -1112,6 +1123,20 @@ field(field, types, present) AS (
   UNION ALL SELECT 'nations', 'array', count(*) FROM good)
 SELECT field, types, present, 0 AS nulls, n - present AS missing, n AS records
 FROM field, (SELECT count(*) AS n FROM good) WHERE present > 0"""
+    q["i21_nested_schema"] = """WITH good AS (SELECT * FROM customer WHERE c_custkey % 7 <> 0),
+n AS (SELECT count(*) AS records, count(*) FILTER (c_custkey % 5 = 0) AS flat,
+    count(*) FILTER (c_custkey % 5 <> 0) AS deep,
+    count(*) FILTER (c_custkey % 5 <> 0 AND c_acctbal < 0) AS debits,
+    count(*) FILTER (c_custkey % 5 <> 0 AND c_custkey % 3 = 0) AS tagged FROM good)
+SELECT field, types, present, nulls, parents - present AS missing, parents FROM (
+  SELECT 'key' AS field, 'integer|string' AS types, records AS present, 0 AS nulls, records AS parents FROM n
+  UNION ALL SELECT 'account', 'object', deep, 0, records FROM n
+  UNION ALL SELECT 'account.balance', 'number', deep, 0, deep FROM n
+  UNION ALL SELECT 'account["debit.mark"]', 'boolean', debits, 0, deep FROM n
+  UNION ALL SELECT 'stops', 'array', records, flat, records FROM n
+  UNION ALL SELECT 'stops[].nation', 'integer', 2 * deep, 0, 2 * deep FROM n
+  UNION ALL SELECT 'stops[].tag', 'string', 2 * tagged, 0, 2 * deep FROM n)
+UNION ALL SELECT 'stops[]', 'object', 2 * deep, 0, 0, deep FROM n"""
 
     # J
     skewed = "CAST(o_custkey AS DOUBLE)"

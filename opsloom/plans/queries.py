@@ -14,15 +14,15 @@ from pyspark.sql import functions as F
 from opsloom.functions import chats as chat_columns
 from opsloom.functions import corpus as corpus_columns
 from opsloom.functions import logs as log_columns
-from opsloom.functions import rules, text
+from opsloom.functions import json_schema, rules, text
 from opsloom.functions import traces as trace_columns
 from opsloom.operators import (
-    alerts, balance, chats, combine, corpus, logs, profile, qa, quality, selection, sequences,
-    traces, workflows,
+    alerts, balance, chats, combine, corpus, json_paths, logs, profile, qa, quality, selection,
+    sequences, traces, workflows,
 )
 from opsloom.plans.bindings import Tables
 from opsloom.session import checkpointed, scratch_path
-from opsloom.sources import files
+from opsloom.sources import files, json_arrays, snapshots
 
 REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {}
 
@@ -101,6 +101,21 @@ def a5_json_document(t: Tables) -> DataFrame:
     return files.read_json_document(t.spark, _customer_documents(t), CUSTOMER)
 
 
+@query
+def a5_split_json_array(t: Tables) -> DataFrame:
+    """Records with braces, quotes and escapes in their strings, read in splits."""
+    odd = F.concat("c_name", F.lit(' }"{ \\ ['))
+    row = F.struct("c_custkey", odd.alias("c_name"), F.struct("c_acctbal").alias("account"))
+    documents = t.read("customer").groupBy(F.floor(F.col("c_custkey") / 1000)).agg(
+        F.to_json(F.collect_list(row)).alias("value")
+    ).select("value")
+    path = written(t, "arrays", lambda p: documents.write.option("maxRecordsPerFile", 1).text(p))
+    records = json_arrays.read_json_array(
+        t.spark, path, "c_custkey bigint, c_name string, account struct<c_acctbal: double>"
+    )
+    return records.select("c_custkey", "c_name", "account.c_acctbal")
+
+
 def _customer_lines(t: Tables) -> DataFrame:
     good = F.to_json(F.struct("c_custkey", "c_name", "c_acctbal"))
     return t.read("customer").select(F.explode(F.array(
@@ -317,6 +332,17 @@ def c6_unprocessed_prompts(t: Tables) -> DataFrame:
     return workflows.unprocessed(t.prompts(), done).select("id")
 
 
+@query
+def c6_committed_marks(t: Tables) -> DataFrame:
+    """Two marks as commits of a snapshot table; the rows each changed, and what is left."""
+    table = snapshots.SnapshotTable(t.spark, scratch_path(t.spark, "processed"), t.prompts().select("id").schema)
+    first = snapshots.mark(table, t.prompts().filter(F.col("id") % 3 == 0))
+    second = snapshots.mark(table, t.prompts().filter(F.col("id") % 5 == 0))
+    return workflows.unprocessed(t.prompts(), table.read()).select(
+        "id", F.lit(first).cast("bigint").alias("first_changed"), F.lit(second).cast("bigint").alias("second_changed")
+    )
+
+
 @query
 def c7_pair_workflows(t: Tables) -> DataFrame:
     generated = t.prompts().select("id", "workflow_json")
@@ -433,6 +459,11 @@ def d17_keyword_totals(t: Tables) -> DataFrame:
     return corpus.keyword_totals(t.files())
 
 
+@query
+def d17_one_pass_totals(t: Tables) -> DataFrame:
+    return corpus.keyword_totals(t.files(), one_pass=True)
+
+
 @query
 def d18_license_counts(t: Tables) -> DataFrame:
     return corpus.license_counts(t.files())
@@ -966,6 +997,12 @@ def g43_workflow_valid(t: Tables) -> DataFrame:
     return t.prompts().select("id", valid.alias("workflow_valid"))
 
 
+@query
+def g43_json_schema(t: Tables) -> DataFrame:
+    fits = json_schema.conforms("workflow_json", rules.WORKFLOW_SCHEMA)
+    return t.prompts().select("id", fits.alias("workflow_valid"))
+
+
 # --- H: sampling, balancing, weights ------------------------------------------------------------
 
 @query
@@ -1104,6 +1141,48 @@ def i10_schema_checks(t: Tables) -> DataFrame:
     })
 
 
+@query
+def i10_record_schemas(t: Tables) -> DataFrame:
+    """Order records as JSON against two schema documents."""
+    line = F.when(F.col("o_orderkey") % 11 == 0, F.lit('{"key": ')).otherwise(F.to_json(F.struct(
+        F.col("o_orderkey").alias("key"), F.col("o_orderstatus").alias("status"),
+        F.struct(
+            F.round("o_totalprice", 2).alias("total"),
+            F.when(F.col("o_orderkey") % 5 == 0, F.lit("gift")).alias("note"),
+        ).alias("price"),
+        F.when(F.col("o_orderkey") % 3 == 0, F.array("o_custkey", F.lit(-1)))
+        .otherwise(F.array("o_custkey")).alias("parties"),
+    )))
+    return t.read("orders").select(
+        "o_orderkey", json_schema.conforms(line, ORDER_SCHEMA).alias("plain"),
+        json_schema.conforms(line, STRICT_ORDER_SCHEMA).alias("strict"),
+    )
+
+
+ORDER_SCHEMA = {
+    "type": "object", "required": ["key", "price"],
+    "properties": {
+        "key": {"type": "integer", "minimum": 1}, "status": {"enum": ["O", "F"]},
+        "price": {"type": "object", "properties": {"total": {"type": "number", "maximum": 200000}}},
+    },
+}
+STRICT_ORDER_SCHEMA = {
+    "allOf": [{"$ref": "#/$defs/order"}],
+    "$defs": {
+        "order": {
+            "type": "object", "additionalProperties": False, "required": ["key", "status", "price", "parties"],
+            "properties": {
+                "key": {"type": "integer"}, "status": {"type": "string", "pattern": "^[OFP]$"},
+                "price": {
+                    "type": "object", "additionalProperties": False, "properties": {"total": {"type": "number"}},
+                },
+                "parties": {"type": "array", "minItems": 1, "items": {"type": "integer", "exclusiveMinimum": 0}},
+            },
+        },
+    },
+}
+
+
 @query
 def i11_sequence_errors(t: Tables) -> DataFrame:
     spoiled = t.sequences().withColumn(
@@ -1187,6 +1266,23 @@ def i21_inferred_schema(t: Tables) -> DataFrame:
     return workflows.json_fields(changed, "line")
 
 
+@query
+def i21_nested_schema(t: Tables) -> DataFrame:
+    stop = F.struct(
+        F.col("c_nationkey").alias("nation"), F.when(F.col("c_custkey") % 3 == 0, F.lit("x")).alias("tag")
+    )
+    nested = F.to_json(F.struct(
+        F.col("c_custkey").alias("key"),
+        F.struct(
+            F.col("c_acctbal").alias("balance"), F.when(F.col("c_acctbal") < 0, F.lit(True)).alias("debit.mark")
+        ).alias("account"),
+        F.array(stop, stop).alias("stops"),
+    ))
+    flat = F.lit('{"key": "text", "stops": null}')
+    line = F.when(F.col("c_custkey") % 7 == 0, F.lit("{broken")).when(F.col("c_custkey") % 5 == 0, flat).otherwise(nested)
+    return json_paths.nested_schema(t.read("customer").select(line.alias("line")), "line")
+
+
 @query
 def i22_record_violations(t: Tables) -> DataFrame:
     return corpus.record_violations(t.record_lines()).select(
