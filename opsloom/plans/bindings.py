@@ -359,6 +359,10 @@ class Tables:
     def usage(self) -> DataFrame:
         return select(self.read("events"), server_usage(SPARK))
 
+    def usage_stream(self) -> DataFrame:
+        path = f"{self.folder}/events.parque[t]"     # a pattern, as a stream takes no single file
+        return select(self.spark.readStream.schema(self.read("events").schema).parquet(path), server_usage(SPARK))
+
     def machine_events(self) -> DataFrame:
         return select(self.read("events"), server_events(SPARK))
 

@@ -515,7 +515,7 @@ def oracle_sql() -> dict[str, str]:
     return sql
 
 
-def _usage_windows(size: int, keys: str) -> str:
+def _usage_windows(size: int, keys: str, usage: str = "usage") -> str:
     part = f"PARTITION BY {keys} " if keys else ""
     out = f"{keys}, " if keys else ""
     order = "time_stamp, machine_id, cpu_util_percent, mem_util_percent"
@@ -525,7 +525,7 @@ def _usage_windows(size: int, keys: str) -> str:
     AS label
 FROM (SELECT {out}i, i // {size} AS win, {tokens('cpu_util_percent', 100)} AS cpu,
     {tokens('mem_util_percent', 200)} AS mem
-  FROM (SELECT *, row_number() OVER ({part}ORDER BY {order}) - 1 AS i FROM usage))
+  FROM (SELECT *, row_number() OVER ({part}ORDER BY {order}) - 1 AS i FROM {usage}))
 GROUP BY {out}win HAVING count(*) = {size}"""
 
 
@@ -789,6 +789,8 @@ SELECT 'difference', round(max(rate) - min(rate), 6),
     # E
     q["e1_usage_windows"] = using(_usage_windows(5, ""), "usage")
     q["e2_machine_windows"] = using(_usage_windows(3, "machine_id"), "usage")
+    passed = "(SELECT * FROM usage WHERE time_stamp < (SELECT max(time_stamp) FROM usage))"
+    q["e2_streamed_windows"] = using(_usage_windows(3, "machine_id", passed), "usage")
     q["e3_minute_windows"] = using("""SELECT system,
   strftime(win, '%Y-%m-%d %H:%M:%S') AS "window", count(*) AS count
   FROM fields GROUP BY system, win""", "fields")

@@ -23,6 +23,7 @@ from opsloom.operators import (
 from opsloom.plans.bindings import Tables
 from opsloom.session import checkpointed, scratch_path
 from opsloom.sources import files, json_arrays, snapshots
+from opsloom.streaming import traces as machine_streams
 
 REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {}
 
@@ -568,6 +569,15 @@ def e2_machine_windows(t: Tables) -> DataFrame:
     return _window_view(traces.usage_windows(t.usage(), 3, ["machine_id"]))
 
 
+@query
+def e2_streamed_windows(t: Tables) -> DataFrame:
+    """The events table as a stream, in one trigger; readings of the last second stay open."""
+    windows = machine_streams.machine_windows(t.usage_stream(), 3, "0 seconds")
+    path = scratch_path(t.spark, "streamed-windows")
+    machine_streams.write_windows(windows, path, scratch_path(t.spark, "streamed-state")).awaitTermination()
+    return _window_view(t.spark.read.schema(windows.schema).parquet(path))
+
+
 @query
 def e3_minute_windows(t: Tables) -> DataFrame:
     fields = logs.with_sequence_fields(t.labelled())
