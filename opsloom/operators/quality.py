@@ -180,9 +180,21 @@ def disallowed_values(df: DataFrame, column: str, allowed: DataFrame | Sequence[
     return counts.filter(_disallowed(F.col("value"), allowed))
 
 
-def column_differences(df: DataFrame, required: Sequence[str],
-                       known: Sequence[str] | None = None) -> DataFrame:
-    """Missing required and unexpected columns: (kind, column). Reads metadata only."""
-    rows = [("missing", c) for c in required if c not in df.columns]
-    rows += [("extra", c) for c in df.columns if c not in (known or required)]
-    return df.sparkSession.createDataFrame(rows, "kind string, column string")
+def field_differences(fields: DataFrame, required: Sequence[str],
+                      known: Sequence[str] | None = None) -> DataFrame:
+    """Required fields that no record has and fields that are not known: (kind, column).
+
+    ``fields`` has one row per field that the records hold, with the column ``field``, as schema
+    inference over their text gives it. Fields other than ``known`` (by default the required ones)
+    are extra.
+    """
+    wanted = fields.sparkSession.range(1).select(
+        F.explode(F.array(*[F.lit(c) for c in required]).cast("array<string>")).alias("column"),
+        F.lit(0).alias("present"),
+    )
+    met = fields.select(F.col("field").alias("column"), F.lit(1).alias("present")).unionByName(wanted)
+    expected = F.col("column").isin([*required, *(known or required)])
+    kind = F.when(F.col("present") == 0, "missing").when(~expected, "extra")
+    return met.groupBy("column").agg(F.max("present").alias("present")).select(
+        kind.alias("kind"), "column"
+    ).where("kind IS NOT NULL")

@@ -20,33 +20,53 @@ def _tokens_between(low: int, high: int) -> Column:
 
 
 def sequence_statistics(sequences: DataFrame) -> DataFrame:
-    """Tidy (metric, value): labels, lengths, token families and quality counters."""
-    size = F.array_size("sequence_ids")
-    row = sequences.agg(
-        F.count("*").alias("total_sequences"),
-        F.min(size).alias("length_min"), F.max(size).alias("length_max"),
-        F.round(F.avg(size), 2).alias("length_mean"),
-        F.sum(size).alias("total_tokens"),
-        F.sum(_tokens_between(100, 109)).alias("cpu_tokens"),
-        F.sum(_tokens_between(200, 209)).alias("memory_tokens"),
-        F.count_if(size == 0).alias("empty_sequences"),
-        F.count_if(~F.col("label").between(0, 4)).alias("invalid_labels"),
-        F.count_if(F.col("sequence_ids").isNull() | F.col("label").isNull())
-        .alias("missing_fields"),
+    """Tidy (metric, value): labels, lengths, token families and quality counters.
+
+    One pass: a sequence leaves one mark for its label and one for each token it holds; both are
+    counted together, and all figures come from those few counts.
+    """
+    sums = {
+        "total_tokens": F.col("size"), "cpu_tokens": F.col("cpu"), "memory_tokens": F.col("memory"),
+        "empty_sequences": (F.col("size") == 0).cast("int"),
+        "invalid_labels": (~F.col("value").between(0, 4)).cast("int"),
+        "missing_fields": (F.col("size").isNull() | F.col("value").isNull()).cast("int"),
+    }
+    shape = "array<struct<is_label: boolean, value: bigint, size: int, cpu: int, memory: int>>"
+    own = F.array(F.struct(
+        F.lit(True), F.col("label").cast("bigint"), F.array_size("sequence_ids"),
+        _tokens_between(100, 109), _tokens_between(200, 209),
+    )).cast(shape)
+    none = F.lit(None).cast("int")
+    held = F.transform(
+        F.array_distinct(F.array_compact("sequence_ids")),
+        lambda t: F.struct(F.lit(False), t.cast("bigint"), none, none, none),
+    ).cast(shape)
+    marks = sequences.select(F.inline(F.concat(own, F.coalesce(held, F.array().cast(shape)))))
+    counted = marks.groupBy("is_label", "value").agg(
+        F.count("*").alias("n"), F.count("size").alias("sized"),
+        F.min("size").alias("length_min"), F.max("size").alias("length_max"),
+        *[F.sum(v).alias(k) for k, v in sums.items()],
     )
-    structs = [
-        F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value"))
-        for c in row.columns
-    ]
-    simple = row.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
-    tokens = sequences.select(F.explode("sequence_ids").alias("t")).agg(
-        F.count_distinct("t").cast("double").alias("value")
-    ).select(F.lit("unique_tokens").alias("metric"), "value")
-    labels = sequences.groupBy("label").agg(F.count("*").cast("double").alias("value")).select(
-        F.concat(F.lit("label_"), F.coalesce(label_name(), F.col("label").cast("string")))
-        .alias("metric"), "value",
+    of_labels = {k: F.when(F.col("is_label"), F.col(k)) for k in ("n", "sized", *sums)}
+    row = counted.agg(
+        F.coalesce(F.sum(of_labels["n"]), F.lit(0)).alias("total_sequences"),
+        F.min("length_min").alias("length_min"), F.max("length_max").alias("length_max"),
+        F.round(F.try_divide(F.sum(of_labels["total_tokens"]), F.sum(of_labels["sized"])), 2).alias("length_mean"),
+        *[F.sum(of_labels[k]).alias(k) for k in ("total_tokens", "cpu_tokens", "memory_tokens")],
+        *[F.coalesce(F.sum(of_labels[k]), F.lit(0)).alias(k)
+          for k in ("empty_sequences", "invalid_labels", "missing_fields")],
+        F.count_if(~F.col("is_label")).alias("unique_tokens"),
+        F.collect_list(F.when(F.col("is_label"), F.struct("value", "n"))).alias("labels"),
     )
-    return simple.unionByName(tokens).unionByName(labels)
+    figures = F.array(*[
+        F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value"))
+        for c in row.columns if c != "labels"
+    ])
+    labels = F.transform("labels", lambda x: F.struct(
+        F.concat(F.lit("label_"), F.coalesce(label_name(x["value"]), x["value"].cast("string"))).alias("metric"),
+        x["n"].cast("double").alias("value"),
+    ))
+    return row.select(F.inline(F.concat(figures, labels)))
 
 
 def sequence_errors(sequences: DataFrame) -> DataFrame:

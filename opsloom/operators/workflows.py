@@ -177,14 +177,3 @@ def json_fields(lines: DataFrame, column: str) -> DataFrame:
         "field", F.array_join(types, "|").alias("types"), "present", "nulls",
         (records - F.col("present")).alias("missing"), records.alias("records"),
     ).where(F.col("field").isNotNull())
-
-
-def inferred_schema(records: DataFrame) -> DataFrame:
-    """(field, type) of a record table in simple words. Reads metadata only."""
-    words = {"array": "array", "struct": "object", "map": "object", "string": "string",
-             "boolean": "boolean"}
-    rows = []
-    for f in records.schema.fields:
-        kind = f.dataType.typeName()
-        rows.append((f.name, words.get(kind, "number")))
-    return records.sparkSession.createDataFrame(rows, "field string, type string")

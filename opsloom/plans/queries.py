@@ -675,6 +675,17 @@ def f4_set_difference(t: Tables) -> DataFrame:
     )
 
 
+@query
+def f4_field_differences(t: Tables) -> DataFrame:
+    """Missing and extra fields of the answered questions as JSON records."""
+    changed = t.features().withColumn("note", F.lit("x")).drop("title", "view_count")
+    lines = changed.select(F.to_json(F.struct(*changed.columns)).alias("line"))
+    return quality.field_differences(
+        workflows.json_fields(lines, "line"), rules.QA_REQUIRED_COLUMNS,
+        [*rules.QA_KNOWN_COLUMNS, *rules.QA_SIDE_COLUMNS],
+    )
+
+
 # --- G: scalar functions ------------------------------------------------------------------------
 
 def _severity_view(t: Tables, system: str) -> DataFrame:

@@ -68,8 +68,30 @@ def test_set_differences(table, spark):
     known = spark.createDataFrame([("a",), (None,)], "v string")
     out = {r["value"] for r in quality.disallowed_values(table, "s", known).collect()}
     assert out == {"b", ""}
-    kinds = {(r["kind"], r["column"]) for r in quality.column_differences(table, ["id", "q"]).collect()}
+    fields = spark.createDataFrame([(c,) for c in table.columns], "field string")
+    kinds = {(r["kind"], r["column"]) for r in quality.field_differences(fields, ["id", "q"]).collect()}
     assert kinds == {("missing", "q"), ("extra", "s"), ("extra", "x")}
+    known = quality.field_differences(fields.where("field = 'x'"), ["id", "x"], ["q"]).collect()
+    assert [tuple(r) for r in known] == [("missing", "id")]
+
+
+def test_sequence_statistics_are_one_pass_and_defined_on_odd_rows(spark, capsys):
+    schema = "sequence_ids array<bigint>, label bigint"
+    odd = spark.createDataFrame([([1, 1, None], 0), ([], 9), (None, 2), ([105, 205], None)], schema)
+    found = [(r["metric"], r["value"]) for r in sequences.sequence_statistics(odd).collect()]
+    assert sorted(found, key=str) == sorted([
+        ("total_sequences", 4.0), ("length_min", 0.0), ("length_max", 3.0), ("length_mean", 1.67),
+        ("total_tokens", 5.0), ("cpu_tokens", 1.0), ("memory_tokens", 1.0), ("empty_sequences", 1.0),
+        ("invalid_labels", 1.0), ("missing_fields", 2.0), ("unique_tokens", 3.0),
+        ("label_" + rules.SEQUENCE_LABELS[0], 1.0), ("label_9", 1.0),
+        ("label_" + rules.SEQUENCE_LABELS[2], 1.0), (None, 1.0),
+    ], key=str)
+    empty = {r["metric"]: r["value"] for r in sequences.sequence_statistics(odd.limit(0)).collect()}
+    assert empty["total_sequences"] == 0 and empty["length_mean"] is None and empty["unique_tokens"] == 0
+    path = scratch_path(spark, "sequences")
+    odd.write.parquet(path)
+    sequences.sequence_statistics(spark.read.parquet(path)).explain()
+    assert capsys.readouterr().out.count("FileScan") == 1
 
 
 def test_profiles(table):
