@@ -45,6 +45,15 @@ def shingle_hashes(text: bytes, shingle: int, seed: int) -> list[int]:
     return [digest(line[a:b], seed) for a, b in zip(begins, ends[shingle - 1:].tolist())]
 
 
+def majority(hashes: np.ndarray) -> np.uint64:
+    """The bits that are set in over half of 64-bit hashes; of none, zero."""
+    votes = np.zeros(BITS, dtype=np.int64)
+    for at in range(0, len(hashes), 1 << 16):
+        bits = np.unpackbits(hashes[at:at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        votes += bits.sum(axis=0, dtype=np.int32)
+    return np.packbits(votes * 2 > len(hashes), bitorder="little").view("<u8")[0]
+
+
 def simhashes(texts: pa.Array, shingle: int = 3, seed: int = 42) -> np.ndarray:
     """Signed 64-bit fingerprint of each text: bits set in over half of its shingle hashes."""
     offsets, data = raw(texts)
@@ -54,12 +63,7 @@ def simhashes(texts: pa.Array, shingle: int = 3, seed: int = 42) -> np.ndarray:
         hashes = shingle_hashes(content[offsets[row]:offsets[row + 1]], shingle, seed)
         if not hashes:
             continue
-        values = np.array(hashes, dtype="<u8")
-        votes = np.zeros(BITS, dtype=np.int64)
-        for at in range(0, len(values), 1 << 16):
-            bits = np.unpackbits(values[at:at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            votes += bits.sum(axis=0, dtype=np.int32)
-        out[row] = np.packbits(votes * 2 > len(values), bitorder="little").view("<u8")[0]
+        out[row] = majority(np.array(hashes, dtype="<u8"))
     return out.view(np.int64)
 
 
