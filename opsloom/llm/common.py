@@ -71,13 +71,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 _ROOTS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _TABLES: dict = {}
+STEP = 1 << 18
 
 
 def powers(base: int, size: int) -> np.ndarray:
     """Powers of an odd number modulo 2**64."""
     have = _TABLES.get(base)
     if have is None or len(have) < size:
-        have = np.full(max(size, SLICE_BYTES), base, dtype=np.uint64)
+        have = np.full(-(-size // STEP) * STEP, base, dtype=np.uint64)
         have[0] = 1
         have = _TABLES[base] = np.multiply.accumulate(have)
     return have[:size]
@@ -157,12 +158,11 @@ class SpanMemory:
         return out, size[number]
 
     def remember(self, wanted, checks, begin, size, lacking) -> None:
-        hashes = np.concatenate([self.hashes, wanted[lacking]])
-        order = np.argsort(hashes, kind="stable")
-        self.hashes = hashes[order]
-        self.checks = np.concatenate([self.checks, checks[lacking]])[order]
-        self.begins = np.concatenate([self.begins, begin[lacking]])[order]
-        self.sizes = np.concatenate([self.sizes, size[lacking]])[order]
+        places = np.searchsorted(self.hashes, wanted[lacking], side="right")    # both in rising order
+        self.hashes = np.insert(self.hashes, places, wanted[lacking])
+        self.checks = np.insert(self.checks, places, checks[lacking])
+        self.begins = np.insert(self.begins, places, begin[lacking])
+        self.sizes = np.insert(self.sizes, places, size[lacking])
 
 
 def edges_of(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

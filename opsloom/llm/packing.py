@@ -26,6 +26,7 @@ from opsloom.llm.common import (
 from opsloom.llm.token_counts import byte_symbols
 
 BLOCK = 1 << 18      # ids in one stored row at most
+SLICE = 1 << 19      # bytes of text encoded at once; the hashes at each of them take a multiple
 
 
 class WordIds:
@@ -104,37 +105,42 @@ class WordIds:
 _WORDS: dict[tuple[int, int], WordIds] = {}
 
 
+def id_rows(
+    batches: Iterator[pa.RecordBatch], words: WordIds, part: int, end: bytes
+) -> Iterator[pa.RecordBatch]:
+    """Rows of ids, each text ended by ``end``, with their place in the partition."""
+    names = ["id", "part", "place", "start", "length", "doc_tokens", "ids"]
+    place = 0
+    for batch in batches:
+        for piece in slices(batch, "text", SLICE):
+            rows = []
+            for name, ids in zip(piece.column("id"), words.encode(strings(piece.column("text")))):
+                ids += end
+                total = len(ids) // 4
+                for start in range(0, total, BLOCK):
+                    block = ids[4 * start:4 * (start + BLOCK)]
+                    rows.append((name, part, place, start, len(block) // 4, total, block))
+                    place += len(block) // 4
+            columns = list(zip(*rows))
+            kinds = [piece.column("id").type, pa.int32(), *[pa.int64()] * 4, pa.binary()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds)], names=names
+            )
+
+
 def encoded(
     docs: DataFrame, vocabulary: str, end_id: int, id_col: str, text_col: str, remembered: int
 ) -> DataFrame:
     """Pass one: rows of ids with their partition and their place in it."""
     content = docs.sparkSession.sparkContext.broadcast(Path(vocabulary).read_bytes())
     end = np.array([end_id], dtype="<u4").tobytes()
-    names = ["id", "part", "place", "start", "length", "doc_tokens", "ids"]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = hash(content.value), remembered
         if key not in _WORDS:
             _WORDS.clear()
             _WORDS[key] = WordIds(content.value, remembered)
-        part, place = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            for piece in slices(batch, "text"):
-                rows = []
-                for name, ids in zip(
-                    piece.column("id"), _WORDS[key].encode(strings(piece.column("text")))
-                ):
-                    ids += end
-                    total = len(ids) // 4
-                    for start in range(0, total, BLOCK):
-                        block = ids[4 * start:4 * (start + BLOCK)]
-                        rows.append((name, part, place, start, len(block) // 4, total, block))
-                        place += len(block) // 4
-                columns = list(zip(*rows))
-                kinds = [piece.column("id").type, pa.int32(), *[pa.int64()] * 4, pa.binary()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(columns, kinds)], names=names
-                )
+        yield from id_rows(batches, _WORDS[key], TaskContext.get().partitionId(), end)
         released()
 
     kind = id_type(docs, id_col)
