@@ -85,8 +85,12 @@ def powers(base: int, size: int) -> np.ndarray:
 
 
 def released() -> None:
-    """Give back the tables of this worker when a task ends; the next makes them anew."""
+    """Give back the tables of this worker when a task ends; the next makes them anew.
+
+    Workers live on for other tasks, so what Arrow keeps of freed buffers goes back as well.
+    """
     _TABLES.clear()
+    pa.default_memory_pool().release_unused()
 
 
 def span_hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, which: int) -> np.ndarray:

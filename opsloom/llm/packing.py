@@ -141,6 +141,7 @@ def encoded(
             _WORDS.clear()
             _WORDS[key] = WordIds(content.value, remembered)
         yield from id_rows(batches, _WORDS[key], TaskContext.get().partitionId(), end)
+        _WORDS.clear()
         released()
 
     kind = id_type(docs, id_col)

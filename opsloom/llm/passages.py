@@ -204,6 +204,7 @@ def sift(rows: DataFrame, length: int, gram: int) -> DataFrame:
             if len(passed[0]):
                 _, _, ids, tags, place, upto = passed
                 yield batch_of(HITS, ids, tags, place, upto, np.zeros(len(ids), dtype=np.int64))
+        released()
 
     return (
         rows.repartition("gram").sortWithinPartitions(*key).mapInArrow(run, HITS)
@@ -230,6 +231,7 @@ def contexts(opened: DataFrame, length: int, gram: int) -> DataFrame:
                                     text[at:at + length]))
                 if out:
                     yield batch_of(CONTEXTS, *zip(*out))
+        released()
 
     return opened.mapInArrow(run, CONTEXTS)
 
@@ -255,6 +257,7 @@ def windows_of(opened: DataFrame, length: int, gram: int) -> DataFrame:
                         np.full(size, name, dtype=np.int64), np.full(size, tag, dtype=np.int32),
                         begin.astype(np.int32),
                     )
+        released()
 
     return opened.mapInArrow(run, WINDOWS)
 
@@ -353,6 +356,7 @@ def settle(rows: DataFrame, length: int, gram: int) -> DataFrame:
             count += batch.num_rows
         if held:
             yield block(pa.Table.from_batches(held))
+        released()
 
     return (
         rows.repartition("gram").sortWithinPartitions("gram", "id", "tag", "place")
@@ -448,6 +452,7 @@ def remove_repeats(
                      *[part.column(name) for name in extra]],
                     names=names,
                 )
+        released()
 
     return joined.mapInArrow(cut, ", ".join(f"`{n}` {k}" for n, k in zip(names, kinds)))
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opsloom.llm.common import id_and_text, id_type, slices, strings
+from opsloom.llm.common import id_and_text, id_type, released, slices, strings
 
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(
@@ -438,5 +438,6 @@ def mask_secrets(text: Column, most: int | None = None) -> Column:
             yield pd.Series(
                 [None if t is None else masked(t, all_spans(t, most)[1]) for t in texts], dtype=object
             )
+        released()
 
     return mask(text)

@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from opsloom.llm.common import released
+
 WORD = re.compile(r"[^\W\d_]+")
 SENTENCE = re.compile(r"(?<=[.!?\n])\s+")
 PREFIXES = (4, 5)
@@ -213,6 +215,7 @@ def toxicity_score(text: Column, model: ToxicityModel) -> Column:
             yield pd.Series(
                 [model.score(WORD.findall((t or "").lower()), memory) for t in texts], dtype="float64"
             )
+        released()
 
     return score(text)
 

@@ -38,3 +38,13 @@ def test_words_are_remembered_in_order():
         assert bytes(ids.astype(np.uint8)) == blob.replace(b" ", b"")
         assert (sizes == ends - begins).all()
         assert (memory.hashes[1:] >= memory.hashes[:-1]).all()
+
+
+def test_workers_give_back_what_arrow_keeps(monkeypatch):
+    """At the end of a task the tables and Arrow's freed buffers go back."""
+    calls = []
+    pool = type("Pool", (), {"release_unused": lambda self: calls.append(1)})
+    monkeypatch.setattr(common.pa, "default_memory_pool", pool)
+    common.powers(common._ROOTS[0], 10)
+    common.released()
+    assert calls == [1] and not common._TABLES
