@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -38,6 +39,13 @@ def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Itera
         begin = end
 
 
+def text_slices(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """The texts that a UDF over Arrow arrays gets, in runs of ``SLICE_BYTES``; its results may come so."""
+    for texts in batches:
+        for part in slices(pa.record_batch([texts], ["text"]), "text"):
+            yield part.column("text")
+
+
 def byte_lengths(texts: pa.Array) -> np.ndarray:
     offsets, _ = raw(texts)
     return np.diff(offsets)
@@ -87,10 +95,23 @@ def powers(base: int, size: int) -> np.ndarray:
 def released() -> None:
     """Give back the tables of this worker when a task ends; the next makes them anew.
 
-    Workers live on for other tasks, so what Arrow keeps of freed buffers goes back as well.
+    Workers live on for other tasks, so what Arrow and the C library keep of freed memory goes back
+    as well (the latter where it can, as glibc).
     """
     _TABLES.clear()
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.pythonapi, "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def releasing(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` over the batches of a task; its memory goes back when it no longer holds the last of them."""
+    def task(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        released()
+
+    return task
 
 
 def span_hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, which: int) -> np.ndarray:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opsloom.llm.common import edges_of, id_type, raw, released, slices, span_hashes, written
+from opsloom.llm.common import edges_of, id_type, raw, releasing, slices, span_hashes, written
 
 LENGTH, GRAM = 100, 24
 CROWD = 20_000
@@ -132,9 +132,8 @@ def find_anchors(rows: DataFrame, length: int, gram: int) -> DataFrame:
                     np.concatenate([place[kept], begin]).astype(np.int32),
                     np.concatenate([np.zeros(len(kept), dtype=np.int64), upto]).astype(np.int32),
                 )
-        released()
 
-    return rows.mapInArrow(run, ROWS)
+    return rows.mapInArrow(releasing(run), ROWS)
 
 
 def repeats(order, grams, context, ids, tags, place):
@@ -204,10 +203,9 @@ def sift(rows: DataFrame, length: int, gram: int) -> DataFrame:
             if len(passed[0]):
                 _, _, ids, tags, place, upto = passed
                 yield batch_of(HITS, ids, tags, place, upto, np.zeros(len(ids), dtype=np.int64))
-        released()
 
     return (
-        rows.repartition("gram").sortWithinPartitions(*key).mapInArrow(run, HITS)
+        rows.repartition("gram").sortWithinPartitions(*key).mapInArrow(releasing(run), HITS)
     )
 
 
@@ -231,9 +229,8 @@ def contexts(opened: DataFrame, length: int, gram: int) -> DataFrame:
                                     text[at:at + length]))
                 if out:
                     yield batch_of(CONTEXTS, *zip(*out))
-        released()
 
-    return opened.mapInArrow(run, CONTEXTS)
+    return opened.mapInArrow(releasing(run), CONTEXTS)
 
 
 def windows_of(opened: DataFrame, length: int, gram: int) -> DataFrame:
@@ -257,9 +254,8 @@ def windows_of(opened: DataFrame, length: int, gram: int) -> DataFrame:
                         np.full(size, name, dtype=np.int64), np.full(size, tag, dtype=np.int32),
                         begin.astype(np.int32),
                     )
-        released()
 
-    return opened.mapInArrow(run, WINDOWS)
+    return opened.mapInArrow(releasing(run), WINDOWS)
 
 
 def classes(matrix: np.ndarray, sizes: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -356,11 +352,10 @@ def settle(rows: DataFrame, length: int, gram: int) -> DataFrame:
             count += batch.num_rows
         if held:
             yield block(pa.Table.from_batches(held))
-        released()
 
     return (
         rows.repartition("gram").sortWithinPartitions("gram", "id", "tag", "place")
-        .mapInArrow(run, HITS)
+        .mapInArrow(releasing(run), HITS)
     )
 
 
@@ -452,9 +447,8 @@ def remove_repeats(
                      *[part.column(name) for name in extra]],
                     names=names,
                 )
-        released()
 
-    return joined.mapInArrow(cut, ", ".join(f"`{n}` {k}" for n, k in zip(names, kinds)))
+    return joined.mapInArrow(releasing(cut), ", ".join(f"`{n}` {k}" for n, k in zip(names, kinds)))
 
 
 def removed(text: bytes, spans: list[dict] | None) -> tuple[int, int, int, str, bytes]:

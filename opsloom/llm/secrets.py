@@ -21,12 +21,11 @@ from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opsloom.llm.common import id_and_text, id_type, released, slices, strings
+from opsloom.llm.common import id_and_text, id_type, released, slices, strings, text_slices
 
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(
@@ -432,12 +431,15 @@ def scan_secrets(
 
 def mask_secrets(text: Column, most: int | None = None) -> Column:
     """Texts with every span of secrets, wrapped ones too, replaced by a mark; null stays null."""
-    @F.pandas_udf("string")
-    def mask(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series(
-                [None if t is None else masked(t, all_spans(t, most)[1]) for t in texts], dtype=object
+    def masks(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for part in text_slices(batches):
+            yield pa.array(
+                [None if t is None else masked(t, all_spans(t, most)[1]) for t in part.to_pylist()], pa.string()
             )
+
+    @F.arrow_udf("string")
+    def mask(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from masks(batches)
         released()
 
     return mask(text)

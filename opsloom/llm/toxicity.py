@@ -18,11 +18,11 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opsloom.llm.common import released
+from opsloom.llm.common import released, releasing, slices, strings, text_slices
 
 WORD = re.compile(r"[^\W\d_]+")
 SENTENCE = re.compile(r"(?<=[.!?\n])\s+")
@@ -181,22 +181,25 @@ def fit_toxicity(
     )
     swaps = swapped_terms(kinds)
 
-    def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            pairs = [counterfactuals(text, swaps) for text in rows["text"]]
-            yield pd.DataFrame({
-                "id": rows["id"].astype(str), "label": rows["label"],
-                "bag": [bag(text).tobytes() for text in rows["text"]],
-                "before": [[a.tobytes() for a, _ in p] for p in pairs],
-                "after": [[b.tobytes() for _, b in p] for p in pairs],
-            })
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                texts = strings(part.column("text"))
+                pairs = [counterfactuals(text, swaps) for text in texts]
+                yield pa.RecordBatch.from_arrays([
+                    part.column("id"), part.column("label"),
+                    pa.array([bag(text).tobytes() for text in texts], pa.binary()),
+                    *[pa.array([[p[side].tobytes() for p in some] for some in pairs], pa.list_(pa.binary()))
+                      for side in (0, 1)],
+                ], names=["id", "label", "bag", "before", "after"])
 
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     rows = (
         texts.join(F.broadcast(chosen), "id").where(F.col("text").isNotNull())
         .groupBy("id", "label")
         .agg(F.min(F.struct(F.xxhash64("text").alias("order"), "text")).getField("text").alias("text"))
-        .mapInPandas(features, "id string, label int, bag binary, before array<binary>, after array<binary>")
+        .select(F.col("id").cast("string").alias("id"), "label", "text")
+        .mapInArrow(releasing(features), "id string, label int, bag binary, before array<binary>, after array<binary>")
         .toPandas().sort_values("id")
     )
     read = lambda content: np.frombuffer(content, dtype=np.uint32)
@@ -208,13 +211,14 @@ def fit_toxicity(
 
 def toxicity_score(text: Column, model: ToxicityModel) -> Column:
     """Score in [0, 1] of whole texts; a null or empty text has the score of the bias alone."""
-    @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def scores(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         memory: dict[str, tuple] = {}
-        for texts in batches:
-            yield pd.Series(
-                [model.score(WORD.findall((t or "").lower()), memory) for t in texts], dtype="float64"
-            )
+        for part in text_slices(batches):
+            yield pa.array([model.score(WORD.findall(t.lower()), memory) for t in strings(part)], pa.float64())
+
+    @F.arrow_udf("double")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from scores(batches)
         released()
 
     return score(text)
